@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from crease.config import Thresholds
 from crease.functions.metrics import count_true, rounded_ratio, tier
-from crease.operators.ranking import global_rank
+from crease.operators.ranking import global_rank, global_ranks
 
 _DEFAULT = Thresholds()
 
@@ -73,9 +73,8 @@ def bowler_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_
         })
     )
     # the economy rank orders the rounded rate, so rounding creates ties
-    ranked = global_rank(stats, "economy_rate", name="economy_rank", **rank_options)
-    return global_rank(ranked, "total_wickets", descending=True, name="wickets_rank",
-                       **rank_options)
+    return global_ranks(stats, [("economy_rate", False, "economy_rank"),
+                                ("total_wickets", True, "wickets_rank")], **rank_options)
 
 
 def team_season_wins(matches: DataFrame, window: int = _DEFAULT.rolling_seasons) -> DataFrame:

@@ -18,23 +18,28 @@ rank of a key is ``1 + (rows ordered strictly before it)``, computed as:
 6. ``rank = 1 + offset + running sum``, joined back on the key (null-safe).
 
 NULL keys sort as Spark does: first when ascending, last when descending.
+Inputs whose checked row count is small skip all this for a plain window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
+from crease.session import ensure_checkpoint_dir
+
 DEFAULT_BUCKETS = 64
 DEFAULT_ACCURACY = 10000
+# checked row count up to which one task ranks everything with a plain window
+DEFAULT_SINGLE_TASK_ROWS = 100_000
 
 _N, _B, _OFF, _K = "__n", "__bucket", "__offset", "__key"
 
 
-def global_rank(df: DataFrame, key: str, *, descending: bool = False, name: str = "rank",
-                buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Append ``name`` = SQL ``RANK() OVER (ORDER BY key [DESC])`` (gaps, ties kept)."""
+def _key_ranks(df: DataFrame, key: str, descending: bool, name: str, buckets: int,
+               accuracy: int) -> DataFrame:
+    """``(__key, name)``: the rank of every distinct value of ``key`` in ``df``."""
     dtype = df.schema[key].dataType
     if not isinstance(dtype, (NumericType, DateType, TimestampType, TimestampNTZType)):
         raise TypeError(f"global_rank needs a numeric/date key, got {dtype.simpleString()}")
@@ -69,8 +74,49 @@ def global_rank(df: DataFrame, key: str, *, descending: bool = False, name: str
     # at most buckets + 1 rows: a size bound set by the parameter
     offsets = bucketed.groupBy(_B).agg(F.sum(_N).alias(_N)).select(_B, before_bucket.alias(_OFF))
 
-    ranks = (bucketed.select(k.alias(_K), _B, before_in_bucket.alias("__within"))
-             .join(F.broadcast(offsets), _B)
-             .select(_K, (F.lit(1) + F.col(_OFF) + F.col("__within")).cast("int").alias(name)))
-    return (df.join(ranks, k.eqNullSafe(F.col(_K)), "inner")
-              .select(*[F.col(c) for c in df.columns], F.col(name)))
+    return (bucketed.select(k.alias(_K), _B, before_in_bucket.alias("__within"))
+            .join(F.broadcast(offsets), _B)
+            .select(_K, (F.lit(1) + F.col(_OFF) + F.col("__within")).cast("int").alias(name)))
+
+
+def global_ranks(df: DataFrame, specs: list[tuple[str, bool, str]], *,
+                 buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY,
+                 checkpoint: bool = True,
+                 single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS) -> DataFrame:
+    """Append one rank column per ``(key, descending, name)``.
+
+    Ranking reads its input several times (cut points, bucket totals, the
+    running counts and the join back), and each read prunes different
+    columns, so Spark cannot share one computation of ``df`` between them.
+    With ``checkpoint`` the input is therefore written once to the session's
+    checkpoint folder (an eager job) and every read uses that copy; this also
+    cuts the lineage, so a lost executor does not recompute the upstream.
+
+    The same job counts the rows.  At most ``single_task_rows`` rows are
+    ranked by a plain window in one task (a bound checked on the data, not
+    assumed); anything larger takes the bucketed plan above.  Every rank is
+    computed from the one input, never nested inside another rank's plan.
+    """
+    rows = None
+    if checkpoint:
+        ensure_checkpoint_dir(df.sparkSession)
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+        rows = seen.get["rows"]
+    if rows is not None and rows <= single_task_rows:
+        return df.withColumns({
+            name: F.rank().over(Window.orderBy(
+                F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_first()))
+            for key, descending, name in specs})
+    out = df
+    for key, descending, name in specs:
+        ranks = _key_ranks(df, key, descending, name, buckets, accuracy)
+        # null-safe: NULL keys rank too
+        out = out.join(ranks, F.col(key).eqNullSafe(F.col(_K)), "inner").drop(_K)
+    return out.select(*[F.col(c) for c in df.columns], *[F.col(n) for _, _, n in specs])
+
+
+def global_rank(df: DataFrame, key: str, *, descending: bool = False, name: str = "rank",
+                **options) -> DataFrame:
+    """Append ``name`` = SQL ``RANK() OVER (ORDER BY key [DESC])`` (gaps, ties kept)."""
+    return global_ranks(df, [(key, descending, name)], **options)

@@ -1,4 +1,4 @@
-"""Local session for tests and benchmarks; on a cluster the caller's session is used."""
+"""Session helpers: a local session for tests/benchmarks and the checkpoint folder."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -25,10 +26,22 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; set a scratch one only if unset."""
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    A local session without the setting gets a scratch folder; a cluster
+    without it is an error, since a machine-local folder would not survive
+    the loss of an executor.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="crease-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path

@@ -45,3 +45,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
     return int(obs.get["rows"])
+
+
+def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """Hash-distribute a scan that has fewer splits than the cluster has cores.
+
+    Large inputs already arrive as many splits and pass through untouched (the
+    check is planning only, no job).  A small file read as one split would
+    otherwise run every map-side step in a single task.  Hashing on the
+    table's natural key (instead of round-robin) is deterministic under task
+    retries, and later groupings and joins on that key reuse the partitioning.
+    """
+    spark = df.sparkSession
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return df
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys) if keys else df.repartition(n)

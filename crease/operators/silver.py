@@ -27,7 +27,7 @@ def clean_matches(raw: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
     if isinstance(raw.schema["date"].dataType, DateType):
         match_date = F.col("date")
     else:
-        match_date = F.try_to_date(F.col("date").cast("string"), F.lit(date_format))
+        match_date = F.try_to_date(F.col("date").cast("string"), date_format)
     return df.withColumn("match_date", match_date).withColumns(match_flags())
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from crease.operators import gold, reports, silver
 from crease.operators.ranking import global_rank
 from crease.sources.adapters import deliveries_from_lineitem, matches_from_orders
+from crease.session import materialize
 from crease.sources.files import spread
 
 
@@ -84,7 +85,7 @@ def q5_top_venues(spark, sf_dir):
 
 def q6_all_rounders(spark, sf_dir):
     # both leaderboards read Silver deliveries: materialize it once
-    deliveries = silver_deliveries(spark, sf_dir).checkpoint(eager=True)
+    deliveries = materialize(silver_deliveries(spark, sf_dir))
     return reports.all_rounders(gold.batsman_stats(deliveries), gold.bowler_stats(deliveries))
 
 

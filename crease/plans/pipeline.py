@@ -1,0 +1,128 @@
+"""Stage runner: raw files -> bronze -> silver -> gold -> reports.
+
+Each stage reads the previous layer from storage and overwrites its own
+tables, so any stage can be rerun alone and a failed run restarts from the
+last written layer.  Written layers also cut the lineage: a lost executor
+only recomputes work inside the current stage.  Audit columns are added
+here, at the sink, never inside the transforms.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from crease.config import Thresholds
+from crease.operators import gold, reports, silver
+from crease.schemas import DELIVERIES_SCHEMA, MATCHES_SCHEMA
+from crease.sources.files import ingest, read_table, with_audit, write_table
+
+STAGES = ("bronze", "silver", "gold", "reports")
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Where each layer lives.  ``root`` must be storage every executor sees."""
+
+    root: str
+    matches_source: str | None = None
+    deliveries_source: str | None = None
+    source_format: str = "csv"
+    table_format: str = "parquet"
+    thresholds: Thresholds = field(default_factory=Thresholds)
+
+    def path(self, layer: str, table: str) -> str:
+        return f"{self.root.rstrip('/')}/{layer}/{table}"
+
+
+def _read(spark: SparkSession, layout: Layout, layer: str, table: str) -> DataFrame:
+    return read_table(spark, layout.path(layer, table), layout.table_format)
+
+
+def _write(df: DataFrame, layout: Layout, layer: str, table: str, audit: str) -> int:
+    return write_table(with_audit(df, audit), layout.path(layer, table), layout.table_format)
+
+
+def run_bronze(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    if not (layout.matches_source and layout.deliveries_source):
+        raise ValueError("bronze needs matches_source and deliveries_source")
+    schemas = {"matches": MATCHES_SCHEMA, "deliveries": DELIVERIES_SCHEMA}
+    sources = {"matches": layout.matches_source, "deliveries": layout.deliveries_source}
+    counts = {}
+    for table, src in sources.items():
+        schema = schemas[table] if layout.source_format == "csv" else None
+        raw = ingest(spark, src, schema, layout.source_format)
+        counts[table] = _write(raw, layout, "bronze", table, "bronze")
+    return counts
+
+
+def run_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    return {
+        "matches": _write(silver.clean_matches(_read(spark, layout, "bronze", "matches")),
+                          layout, "silver", "matches", "silver"),
+        "deliveries": _write(
+            silver.enrich_deliveries(_read(spark, layout, "bronze", "deliveries")),
+            layout, "silver", "deliveries", "silver"),
+    }
+
+
+def gold_tables(matches: DataFrame, deliveries: DataFrame,
+                t: Thresholds) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of the four Gold tables (lazy: ranks checkpoint when called)."""
+    return {
+        "batsman_stats": lambda: gold.batsman_stats(deliveries, t.min_matches_batsman),
+        "bowler_stats": lambda: gold.bowler_stats(deliveries, t.min_matches_bowler,
+                                                  t.min_wickets_bowler),
+        "team_season_wins": lambda: gold.team_season_wins(matches, t.rolling_seasons),
+        "match_summary": lambda: gold.match_summary(matches, deliveries),
+    }
+
+
+def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    matches = _read(spark, layout, "silver", "matches")
+    deliveries = _read(spark, layout, "silver", "deliveries")
+    return {name: _write(build(), layout, "gold", name, "gold")
+            for name, build in gold_tables(matches, deliveries, layout.thresholds).items()}
+
+
+def report_tables(batsman: DataFrame, bowler: DataFrame, team: DataFrame, summary: DataFrame,
+                  t: Thresholds) -> dict[str, DataFrame]:
+    return {
+        "q1_top_scorers": reports.top_scorers(batsman, t.top_n),
+        "q2_best_economy": reports.best_economy(bowler, t.top_n),
+        "q3_team_form": reports.recent_team_form(team, t.recent_seasons),
+        "q4_toss_rate": reports.toss_decision_rate(summary),
+        "q5_top_venues": reports.top_venues(summary, t.top_venues, t.min_venue_matches),
+        "q6_all_rounders": reports.all_rounders(batsman, bowler, t.all_rounder_runs,
+                                                t.all_rounder_wickets),
+        "top_wicket_takers": reports.top_wicket_takers(bowler, t.top_n),
+        "team_total_wins": reports.team_total_wins(team),
+    }
+
+
+def run_reports(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    tables = {name: _read(spark, layout, "gold", name)
+              for name in ("batsman_stats", "bowler_stats", "team_season_wins", "match_summary")}
+    out = report_tables(tables["batsman_stats"], tables["bowler_stats"],
+                        tables["team_season_wins"], tables["match_summary"], layout.thresholds)
+    return {name: write_table(df, layout.path("reports", name), layout.table_format)
+            for name, df in out.items()}
+
+
+_RUNNERS = {"bronze": run_bronze, "silver": run_silver, "gold": run_gold,
+            "reports": run_reports}
+
+
+def run_stage(spark: SparkSession, layout: Layout, stage: str) -> dict[str, int]:
+    """Run one stage; returns rows written per table."""
+    if stage not in _RUNNERS:
+        raise ValueError(f"unknown stage {stage!r}; choose from {STAGES}")
+    return _RUNNERS[stage](spark, layout)
+
+
+def run_pipeline(spark: SparkSession, layout: Layout,
+                 stages: Iterable[str] = STAGES) -> dict[str, dict[str, int]]:
+    """Run ``stages`` in order; returns rows written per stage and table."""
+    return {stage: run_stage(spark, layout, stage) for stage in stages}

@@ -7,7 +7,7 @@ all players in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crease.config import Thresholds
@@ -17,22 +17,38 @@ from crease.operators.ranking import global_rank, global_ranks
 _DEFAULT = Thresholds()
 
 
+def _career(deliveries: DataFrame, player: str, aggs: dict[str, Column],
+            matches_alias: str) -> DataFrame:
+    """Per-player totals plus the number of distinct matches played.
+
+    Aggregates first per (player, match), then per player: the distinct
+    match count becomes a plain count of the first level's groups.  The first
+    level needs no shuffle when deliveries are already partitioned by match,
+    and the second moves one row per player and match, combined map-side, so
+    a player with a third of all balls never lands whole in one task.
+    """
+    per_match = deliveries.groupBy(player, "match_id").agg(
+        *[expr.alias(name) for name, expr in aggs.items()])
+    return per_match.groupBy(player).agg(
+        *[F.sum(name).alias(name) for name in aggs],
+        F.count("match_id").alias(matches_alias))
+
+
 def batsman_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_batsman,
                   **rank_options) -> DataFrame:
     """Career batting per batsman: wides are not balls faced (NULL flags drop too)."""
     stats = (
-        deliveries.filter(~F.col("is_wide"))
-        .groupBy("batsman")
-        .agg(
-            F.sum("batsman_runs").alias("total_runs"),
-            F.count("ball").alias("balls_faced"),
-            count_true("is_boundary").alias("boundaries"),
-            count_true("is_six").alias("sixes"),
-            count_true("is_four").alias("fours"),
-            count_true("is_dot_ball").alias("dot_balls"),
-            F.count_distinct("match_id").alias("matches_played"),
-            count_true("is_wicket_delivery").alias("times_dismissed"),
-        )
+        _career(deliveries.filter(~F.col("is_wide")), "batsman", {
+            "total_runs": F.sum("batsman_runs"),
+            "balls_faced": F.count("ball"),
+            "boundaries": count_true("is_boundary"),
+            "sixes": count_true("is_six"),
+            "fours": count_true("is_four"),
+            "dot_balls": count_true("is_dot_ball"),
+            "times_dismissed": count_true("is_wicket_delivery"),
+        }, "matches_played")
+        .select("batsman", "total_runs", "balls_faced", "boundaries", "sixes", "fours",
+                "dot_balls", "matches_played", "times_dismissed")
         .filter(F.col("matches_played") >= min_matches)
         .withColumns({
             "strike_rate": rounded_ratio("total_runs", "balls_faced", 100),
@@ -53,16 +69,14 @@ def bowler_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_
                  min_wickets: int = _DEFAULT.min_wickets_bowler, **rank_options) -> DataFrame:
     """Career bowling per bowler; every ball and every extra counts against them."""
     stats = (
-        deliveries.groupBy("bowler")
-        .agg(
-            count_true("is_wicket_delivery").alias("total_wickets"),
-            F.sum("total_runs").alias("runs_conceded"),
-            F.count("ball").alias("balls_bowled"),
-            count_true("is_dot_ball").alias("dot_balls"),
-            count_true("is_wide").alias("wides"),
-            count_true("is_noball").alias("noballs"),
-            F.count_distinct("match_id").alias("matches"),
-        )
+        _career(deliveries, "bowler", {
+            "total_wickets": count_true("is_wicket_delivery"),
+            "runs_conceded": F.sum("total_runs"),
+            "balls_bowled": F.count("ball"),
+            "dot_balls": count_true("is_dot_ball"),
+            "wides": count_true("is_wide"),
+            "noballs": count_true("is_noball"),
+        }, "matches")
         .filter((F.col("matches") >= min_matches) & (F.col("total_wickets") >= min_wickets))
         .withColumns({
             # runs per over: runs / (balls / 6), in that order

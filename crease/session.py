@@ -46,8 +46,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(path)
     return path
 
-
-def materialize(df):
-    """Reliable checkpoint of ``df`` in the session's shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

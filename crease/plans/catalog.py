@@ -20,18 +20,16 @@ from crease.sources.adapters import deliveries_from_lineitem, matches_from_order
 from crease.sources.files import spread
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), *keys)
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def bronze_matches(spark, sf_dir):
-    # orders keyed by o_orderkey = match id: dedup and the summary join reuse it
-    return matches_from_orders(_table(spark, sf_dir, "orders", "o_orderkey"))
+    return matches_from_orders(_table(spark, sf_dir, "orders"))
 
 
 def bronze_deliveries(spark, sf_dir):
-    # lineitem keyed by l_orderkey = match_id: dedup and innings totals reuse it
-    return deliveries_from_lineitem(_table(spark, sf_dir, "lineitem", "l_orderkey"))
+    return deliveries_from_lineitem(_table(spark, sf_dir, "lineitem"))
 
 
 def silver_matches(spark, sf_dir):
@@ -104,7 +102,7 @@ def part_quantity_rank(spark, sf_dir):
     grouped by part, so that plan is checked where buckets, ties and the join
     back really matter.
     """
-    parts = (_table(spark, sf_dir, "lineitem", "l_partkey").groupBy("l_partkey")
+    parts = (_table(spark, sf_dir, "lineitem").groupBy("l_partkey")
              .agg(F.sum("l_quantity").cast("bigint").alias("total_quantity")))
     return global_rank(parts, "total_quantity", descending=True, name="quantity_rank",
                        single_task_rows=0)

@@ -47,17 +47,20 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return int(obs.get["rows"])
 
 
-def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
-    """Hash-distribute a scan that has fewer splits than the cluster has cores.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Evenly redistribute a scan that has fewer splits than the cluster has cores.
 
     Large inputs already arrive as many splits and pass through untouched (the
     check is planning only, no job).  A small file read as one split would
-    otherwise run every map-side step in a single task.  Hashing on the
-    table's natural key (instead of round-robin) is deterministic under task
-    retries, and later groupings and joins on that key reuse the partitioning.
+    otherwise run every map-side step in a single task.  Rows are spread by
+    their position in the split, not by a data key, so a hot key or a large
+    group of duplicate copies is spread like any other rows and the later
+    aggregations still combine them map-side before their own shuffles.  A
+    split's row order is fixed, so a retried task sends every row to the same
+    place, without the local sort a round-robin repartition would need.
     """
     spark = df.sparkSession
     if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
         return df
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys) if keys else df.repartition(n)
+    return df.repartition(n, F.monotonically_increasing_id())

@@ -43,3 +43,14 @@ def test_csv_round_trip(spark, tmp_path):
 
     # a single stage reruns from the layer below it
     assert run_stage(spark, layout, "gold")["bowler_stats"] == counts["gold"]["bowler_stats"]
+
+
+def test_ingest_infers_schema_when_none_given(spark, tmp_path):
+    from crease.sources.files import ingest
+
+    raw = catalog.bronze_matches(spark, SF["0.001"])
+    _as_raw_csv(raw, MATCHES_SCHEMA, str(tmp_path / "m"))
+    inferred = ingest(spark, str(tmp_path / "m"))
+    types = dict(inferred.dtypes)
+    assert types["id"] == "int" and types["season"] == "int" and types["date"] == "date"
+    assert inferred.count() == raw.count()

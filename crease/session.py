@@ -33,11 +33,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     without it is an error, since a machine-local folder would not survive
     the loss of an executor.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server applies its own setting
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return configured

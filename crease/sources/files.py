@@ -60,7 +60,12 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     place, without the local sort a round-robin repartition would need.
     """
     spark = df.sparkSession
-    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+    try:
+        splits = df.rdd.getNumPartitions()
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it
+        return df
+    if splits >= cores:
         return df
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, F.monotonically_increasing_id())

@@ -20,28 +20,31 @@ def _limit(df: DataFrame, limit: int | None) -> DataFrame:
     return df if limit is None else df.limit(limit)
 
 
-def top_scorers(batsman: DataFrame, n: int = _DEFAULT.top_n) -> DataFrame:
+def top_scorers(batsman: DataFrame, n: int = _DEFAULT.top_n,
+                limit: int | None = None) -> DataFrame:
     """Q1: batsmen ranked ``<= n`` by career runs."""
-    return (batsman.filter(F.col("overall_rank") <= n)
-                   .select("overall_rank", "batsman", "total_runs", "strike_rate",
-                           "batting_average", "performance_tier")
-                   .orderBy("overall_rank"))
+    return _limit(batsman.filter(F.col("overall_rank") <= n)
+                  .select("overall_rank", "batsman", "total_runs", "strike_rate",
+                          "batting_average", "performance_tier")
+                  .orderBy("overall_rank"), limit)
 
 
-def best_economy(bowler: DataFrame, n: int = _DEFAULT.top_n) -> DataFrame:
+def best_economy(bowler: DataFrame, n: int = _DEFAULT.top_n,
+                 limit: int | None = None) -> DataFrame:
     """Q2: bowlers ranked ``<= n`` by (rounded) economy rate."""
-    return (bowler.filter(F.col("economy_rank") <= n)
+    return _limit(bowler.filter(F.col("economy_rank") <= n)
                   .select("economy_rank", "bowler", "total_wickets", "economy_rate",
                           "bowling_average", "dot_ball_pct")
-                  .orderBy("economy_rank"))
+                  .orderBy("economy_rank"), limit)
 
 
-def top_wicket_takers(bowler: DataFrame, n: int = _DEFAULT.top_n) -> DataFrame:
+def top_wicket_takers(bowler: DataFrame, n: int = _DEFAULT.top_n,
+                      limit: int | None = None) -> DataFrame:
     """Gold report: bowlers ranked ``<= n`` by wickets."""
-    return (bowler.filter(F.col("wickets_rank") <= n)
+    return _limit(bowler.filter(F.col("wickets_rank") <= n)
                   .select("wickets_rank", "bowler", "total_wickets", "economy_rate",
                           "dot_ball_pct")
-                  .orderBy("wickets_rank"))
+                  .orderBy("wickets_rank"), limit)
 
 
 def recent_team_form(team: DataFrame, seasons: int = _DEFAULT.recent_seasons,
@@ -88,18 +91,19 @@ def top_venues(summary: DataFrame, n: int = _DEFAULT.top_venues,
 
 def all_rounders(batsman: DataFrame, bowler: DataFrame,
                  min_runs: int = _DEFAULT.all_rounder_runs,
-                 min_wickets: int = _DEFAULT.all_rounder_wickets) -> DataFrame:
+                 min_wickets: int = _DEFAULT.all_rounder_wickets,
+                 limit: int | None = None) -> DataFrame:
     """Q6: players in both leaderboards with enough runs and wickets."""
     bat = batsman.filter(F.col("total_runs") >= min_runs)
     bowl = bowler.filter(F.col("total_wickets") >= min_wickets)
-    return (bat.join(bowl, bat["batsman"] == bowl["bowler"], "inner")
-               .select(bat["batsman"].alias("player"), bat["total_runs"],
-                       bat["batting_average"], bat["strike_rate"],
-                       bowl["total_wickets"], bowl["economy_rate"])
-               .orderBy(F.desc("total_runs")))
+    return _limit(bat.join(bowl, bat["batsman"] == bowl["bowler"], "inner")
+                  .select(bat["batsman"].alias("player"), bat["total_runs"],
+                          bat["batting_average"], bat["strike_rate"],
+                          bowl["total_wickets"], bowl["economy_rate"])
+                  .orderBy(F.desc("total_runs")), limit)
 
 
-def team_total_wins(team: DataFrame) -> DataFrame:
+def team_total_wins(team: DataFrame, limit: int | None = None) -> DataFrame:
     """Gold report: wins per team over all seasons."""
-    return (team.groupBy("winner").agg(F.sum("wins").alias("total_wins"))
-                .orderBy(F.desc("total_wins")))
+    return _limit(team.groupBy("winner").agg(F.sum("wins").alias("total_wins"))
+                  .orderBy(F.desc("total_wins")), limit)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from crease.functions.flags import delivery_flags, match_flags
 from crease.operators.dedup import dedup_keep_first
@@ -24,8 +24,11 @@ def clean_matches(raw: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
     df = (raw.filter(F.col("result") != NO_RESULT)
              .withColumn("season", F.col("season").try_cast("int")))
     df = dedup_keep_first(df, MATCH_KEY)
-    if isinstance(raw.schema["date"].dataType, DateType):
+    date_type = raw.schema["date"].dataType
+    if isinstance(date_type, DateType):
         match_date = F.col("date")
+    elif isinstance(date_type, (TimestampType, TimestampNTZType)):
+        match_date = F.col("date").cast("date")
     else:
         match_date = F.try_to_date(F.col("date").cast("string"), date_format)
     return df.withColumn("match_date", match_date).withColumns(match_flags())

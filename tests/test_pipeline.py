@@ -54,3 +54,17 @@ def test_ingest_infers_schema_when_none_given(spark, tmp_path):
     types = dict(inferred.dtypes)
     assert types["id"] == "int" and types["season"] == "int" and types["date"] == "date"
     assert inferred.count() == raw.count()
+
+
+def test_command_line_runs_one_stage(spark, tmp_path, capsys):
+    import json
+
+    from crease.__main__ import main
+
+    sf = SF["0.001"]
+    _as_raw_csv(catalog.bronze_matches(spark, sf), MATCHES_SCHEMA, str(tmp_path / "m"))
+    _as_raw_csv(catalog.bronze_deliveries(spark, sf), DELIVERIES_SCHEMA, str(tmp_path / "d"))
+    main(["--root", str(tmp_path / "lake"), "--matches", str(tmp_path / "m"),
+          "--deliveries", str(tmp_path / "d"), "--only", "bronze"])
+    counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert counts == {"bronze": {"matches": 1575, "deliveries": 6610}}

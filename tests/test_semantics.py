@@ -136,3 +136,11 @@ def test_recent_form_uses_latest_seasons(spark):
         2007, 2008, 2009]
     assert [r.season for r in reports.recent_team_form(team, since=2008).collect()] == [
         2008, 2009]
+
+
+def test_timestamp_dates_are_truncated(spark):
+    raw = spark.createDataFrame([(1, 2020, dt.datetime(2020, 4, 1, 19, 30), "normal")],
+                                "id long, season int, date timestamp, result string")
+    raw = raw.select("*", F.lit("League").alias("match_type"), F.lit("T1").alias("toss_winner"),
+                     F.lit("T1").alias("winner"))
+    assert silver.clean_matches(raw).first().match_date == D

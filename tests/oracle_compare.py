@@ -1,8 +1,8 @@
 """Run a registered Spark query and its DuckDB oracle SQL, compare the results.
 
-Comparison mirrors the driver's gate: same column names, same row count and
-the same multiset of rows (columns sorted by name, rows sorted).  Floats are
-compared exactly.
+Comparison mirrors the driver's gate: same column names and Arrow types, same
+row count and the same multiset of rows (columns sorted by name, rows
+sorted).  Floats are compared exactly.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import math
 import sys
 
 import duckdb
+from pyspark.sql.pandas.types import to_arrow_type
 
 TABLES = ("orders", "lineitem")
 
@@ -41,13 +42,18 @@ def _rows(columns, tuples):
 def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> tuple[bool, str]:
     sdf = query(spark, sf_dir)
     s_rows = [tuple(r) for r in sdf.collect()]
-    rel = con.execute(sql)
-    d_cols = [d[0] for d in rel.description]
-    d_rows = rel.fetchall()
+    table = con.sql(sql).to_arrow_table()
+    d_cols = table.column_names
+    d_rows = [tuple(r.values()) for r in table.to_pylist()]
     s_sorted, s_cols = _rows(sdf.columns, s_rows)
     d_sorted, d_cols = _rows(d_cols, d_rows)
     if s_cols != d_cols:
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    s_types = {f.name: str(to_arrow_type(f.dataType)) for f in sdf.schema.fields}
+    d_types = {f.name: str(f.type) for f in table.schema}
+    if s_types != d_types:
+        diff = {k: (s_types[k], d_types[k]) for k in s_types if s_types[k] != d_types[k]}
+        return False, f"types differ: {diff}"
     if len(s_sorted) != len(d_sorted):
         return False, f"row count spark={len(s_sorted)} duck={len(d_sorted)}"
     diffs = [(a, b) for a, b in zip(s_sorted, d_sorted) if a != b]

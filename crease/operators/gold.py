@@ -1,8 +1,9 @@
 """Gold layer: career leaderboards, team form and the match summary.
 
-Each builder takes Silver DataFrames and returns a lazy DataFrame.  Global
-ranks use :func:`crease.operators.ranking.global_rank`, so no step gathers
-all players in one task.
+Each builder takes Silver DataFrames and returns a DataFrame.  The two
+leaderboards run one job when called: :func:`crease.operators.ranking.global_ranks`
+checkpoints the career totals, counts them in the same pass, and ranks in one
+task only when that count is small; otherwise it ranks across many tasks.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ def _career(deliveries: DataFrame, player: str, aggs: dict[str, Column],
     """Per-player totals plus the number of distinct matches played.
 
     Aggregates first per (player, match), then per player: the distinct
-    match count becomes a plain count of the first level's groups.  The first
-    level needs no shuffle when deliveries are already partitioned by match,
-    and the second moves one row per player and match, combined map-side, so
-    a player with a third of all balls never lands whole in one task.
+    match count becomes a plain count of the first level's groups.  Both
+    levels combine map-side before their shuffles, so the second moves at most
+    one row per player and match per task, and a player with a third of all
+    balls never lands whole in one task.
     """
     per_match = deliveries.groupBy(player, "match_id").agg(
         *[expr.alias(name) for name, expr in aggs.items()])

@@ -32,7 +32,8 @@ from crease.session import ensure_checkpoint_dir
 DEFAULT_BUCKETS = 64
 DEFAULT_ACCURACY = 10000
 # checked row count up to which one task ranks everything with a plain window
-DEFAULT_SINGLE_TASK_ROWS = 100_000
+# (one sort of at most a million rows; the window buffer spills if it must)
+DEFAULT_SINGLE_TASK_ROWS = 1_000_000
 
 _N, _B, _OFF, _K = "__n", "__bucket", "__offset", "__key"
 

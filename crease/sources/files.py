@@ -48,7 +48,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Evenly redistribute a scan that has fewer splits than the cluster has cores.
+    """Evenly redistribute a scan that has fewer splits than the cluster has cores
+    (into one partition per core unless ``partitions`` says otherwise).
 
     Large inputs already arrive as many splits and pass through untouched (the
     check is planning only, no job).  A small file read as one split would
@@ -67,5 +68,4 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
         return df
     if splits >= cores:
         return df
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, F.monotonically_increasing_id())
+    return df.repartition(partitions or cores, F.monotonically_increasing_id())

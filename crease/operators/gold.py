@@ -19,7 +19,7 @@ _DEFAULT = Thresholds()
 
 
 def _career(deliveries: DataFrame, player: str, aggs: dict[str, Column],
-            matches_alias: str) -> DataFrame:
+            matches_alias: str, approx_matches: float | None = None) -> DataFrame:
     """Per-player totals plus the number of distinct matches played.
 
     Aggregates first per (player, match), then per player: the distinct
@@ -27,7 +27,14 @@ def _career(deliveries: DataFrame, player: str, aggs: dict[str, Column],
     levels combine map-side before their shuffles, so the second moves at most
     one row per player and match per task, and a player with a third of all
     balls never lands whole in one task.
+
+    ``approx_matches`` (a relative standard deviation, opt-in) counts matches
+    with a HyperLogLog sketch instead, in a single aggregation and shuffle.
     """
+    if approx_matches is not None:
+        return deliveries.groupBy(player).agg(
+            *[expr.alias(name) for name, expr in aggs.items()],
+            F.approx_count_distinct("match_id", approx_matches).alias(matches_alias))
     per_match = deliveries.groupBy(player, "match_id").agg(
         *[expr.alias(name) for name, expr in aggs.items()])
     return per_match.groupBy(player).agg(
@@ -36,7 +43,7 @@ def _career(deliveries: DataFrame, player: str, aggs: dict[str, Column],
 
 
 def batsman_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_batsman,
-                  **rank_options) -> DataFrame:
+                  approx_matches: float | None = None, **rank_options) -> DataFrame:
     """Career batting per batsman: wides are not balls faced (NULL flags drop too)."""
     stats = (
         _career(deliveries.filter(~F.col("is_wide")), "batsman", {
@@ -47,7 +54,7 @@ def batsman_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches
             "fours": count_true("is_four"),
             "dot_balls": count_true("is_dot_ball"),
             "times_dismissed": count_true("is_wicket_delivery"),
-        }, "matches_played")
+        }, "matches_played", approx_matches)
         .select("batsman", "total_runs", "balls_faced", "boundaries", "sixes", "fours",
                 "dot_balls", "matches_played", "times_dismissed")
         .filter(F.col("matches_played") >= min_matches)
@@ -67,7 +74,8 @@ def batsman_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches
 
 
 def bowler_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_bowler,
-                 min_wickets: int = _DEFAULT.min_wickets_bowler, **rank_options) -> DataFrame:
+                 min_wickets: int = _DEFAULT.min_wickets_bowler,
+                 approx_matches: float | None = None, **rank_options) -> DataFrame:
     """Career bowling per bowler; every ball and every extra counts against them."""
     stats = (
         _career(deliveries, "bowler", {
@@ -77,7 +85,9 @@ def bowler_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_
             "dot_balls": count_true("is_dot_ball"),
             "wides": count_true("is_wide"),
             "noballs": count_true("is_noball"),
-        }, "matches")
+        }, "matches", approx_matches)
+        .select("bowler", "total_wickets", "runs_conceded", "balls_bowled", "dot_balls",
+                "wides", "noballs", "matches")
         .filter((F.col("matches") >= min_matches) & (F.col("total_wickets") >= min_wickets))
         .withColumns({
             # runs per over: runs / (balls / 6), in that order

@@ -32,3 +32,15 @@ def test_dedup_independent_of_partitioning(spark):
 def test_summary_keeps_every_silver_match(spark):
     sf = SF["0.01"]
     assert catalog.match_summary(spark, sf).count() == catalog.silver_matches(spark, sf).count()
+
+
+def test_approximate_match_count_is_opt_in_and_close(spark):
+    d = catalog.silver_deliveries(spark, SF["0.01"])
+    exact = {r.batsman: r.matches_played for r in gold.batsman_stats(d, min_matches=0).collect()}
+    approx = {r.batsman: r.matches_played
+              for r in gold.batsman_stats(d, min_matches=0, approx_matches=0.02).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= 0.08 * exact[k] for k in exact)
+    # without the rank checkpoint the plan still shows the aggregation below it
+    plan = gold.bowler_stats(d, approx_matches=0.02, checkpoint=False)._jdf.queryExecution().toString()
+    assert "approx_count_distinct" in plan or "HyperLogLogPlusPlus" in plan

@@ -14,7 +14,7 @@ from crease.operators.gold import (
     match_summary,
     team_season_wins,
 )
-from crease.operators.ranking import global_rank
+from crease.operators.ranking import global_rank, global_ranks
 from crease.operators.reports import (
     all_rounders,
     best_economy,
@@ -26,6 +26,8 @@ from crease.operators.reports import (
     toss_decision_rate,
 )
 from crease.operators.silver import clean_matches, enrich_deliveries
+from crease.plans.pipeline import Layout, run_pipeline, run_stage
+from crease.streaming import ingest_new_files
 
 __all__ = [
     "Thresholds",
@@ -37,9 +39,14 @@ __all__ = [
     "dedup_keep_first",
     "enrich_deliveries",
     "global_rank",
+    "global_ranks",
+    "ingest_new_files",
     "innings_runs",
+    "Layout",
     "match_summary",
     "recent_team_form",
+    "run_pipeline",
+    "run_stage",
     "team_season_wins",
     "team_total_wins",
     "top_scorers",

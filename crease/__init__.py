@@ -26,7 +26,7 @@ from crease.operators.reports import (
     toss_decision_rate,
 )
 from crease.operators.silver import clean_matches, enrich_deliveries
-from crease.plans.pipeline import Layout, run_pipeline, run_stage
+from crease.plans.stages import Layout, run_pipeline, run_stage
 from crease.streaming import ingest_new_files
 
 __all__ = [

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from crease.plans.pipeline import STAGES, Layout, run_pipeline
+from crease.plans.stages import STAGES, Layout, run_pipeline
 from crease.session import local_session
 
 

@@ -1 +1 @@
-"""Plans: the stage pipeline, the query registry and its oracle SQL."""
+"""Plans: the stage runner, the query registry and its oracle SQL."""

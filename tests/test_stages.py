@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from crease.plans import catalog
-from crease.plans.pipeline import Layout, run_pipeline, run_stage
+from crease.plans.stages import Layout, run_pipeline, run_stage
 from crease.schemas import DELIVERIES_SCHEMA, MATCHES_SCHEMA
 from tests.conftest import SF
 

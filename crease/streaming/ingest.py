@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from crease.session import ensure_checkpoint_dir
 from crease.sources.files import with_audit
 
 
@@ -15,11 +14,18 @@ def ingest_new_files(spark: SparkSession, source: str, schema: StructType, targe
     """Process every file in ``source`` not yet ingested, then stop.
 
     A file stream needs the explicit schema.  The stream's progress lives in
-    ``checkpoint`` (default: ``<spark checkpoint dir>/streams/<name>``, a shared
-    folder), so a rerun after a failure resumes without duplicating rows.
-    Returns the number of rows appended by this run.
+    ``checkpoint`` (default: ``<spark.checkpoint.dir>/streams/<name>``, the
+    shared folder the session names), so a rerun, in this session or a later
+    one, resumes without duplicating rows.  Returns the rows appended by this run.
     """
-    location = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    if checkpoint is None:
+        # the configured folder itself: the context's own checkpoint dir gets a
+        # fresh random suffix per session and would forget the stream's progress
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            raise ValueError("pass checkpoint= or set spark.checkpoint.dir")
+        checkpoint = f"{base.rstrip('/')}/streams/{name}"
+    location = checkpoint
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
         reader = reader.option("header", "true")

@@ -29,3 +29,21 @@ def test_incremental_ingest(spark, tmp_path):
     bronze = spark.read.parquet(target)
     assert bronze.count() == full.count()
     assert {"ingested_at", "pipeline_date"} <= set(bronze.columns)
+
+
+def test_default_progress_location_is_stable(spark, tmp_path):
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        import pytest
+
+        pytest.skip("session has no spark.checkpoint.dir")
+    raw = catalog.bronze_matches(spark, SF["0.001"])
+    cols = [(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType)
+            .alias(f.name) for f in MATCHES_SCHEMA.fields]
+    raw.select(*cols).write.option("header", "true").csv(str(tmp_path / "landing"))
+    name, target = f"m_{uuid.uuid4().hex}", str(tmp_path / "bronze")
+    first = ingest_new_files(spark, str(tmp_path / "landing"), MATCHES_SCHEMA, target, name)
+    assert first == raw.count()
+    assert ingest_new_files(spark, str(tmp_path / "landing"), MATCHES_SCHEMA, target, name) == 0

@@ -5,8 +5,10 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.sql import SparkSession
+
 from crease.plans.stages import STAGES, Layout, run_pipeline
-from crease.session import local_session
+from crease.session import ensure_checkpoint_dir
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -17,8 +19,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source-format", default="csv")
     ap.add_argument("--table-format", default="parquet")
     ap.add_argument("--only", choices=STAGES, help="run a single stage")
+    ap.add_argument("--master", help="only to override the master spark-submit provides")
     args = ap.parse_args(argv)
-    spark = local_session()
+    builder = SparkSession.builder.appName("crease")
+    if args.master:
+        builder = builder.master(args.master)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
     layout = Layout(args.root, args.matches, args.deliveries, args.source_format,
                     args.table_format)
     stages = [args.only] if args.only else list(STAGES)

@@ -1,10 +1,10 @@
 """Registry of named queries over the benchmark tables.
 
 Every entry takes ``(spark, sf_dir)``, reads ``orders``/``lineitem`` through
-the adapters and returns one lazy DataFrame covering the whole tables.  The
-layers are composed in one plan; identical sub-plans (e.g. Silver deliveries
-under both leaderboards in ``q6_all_rounders``) share one shuffle through
-Spark's exchange reuse.
+the adapters and returns a DataFrame covering the whole tables, with the
+layers composed in one plan.  Entries that rank (the leaderboards and the
+reports on them) run their rank input's checkpoint job when called; the rest
+stay lazy.  Scans with fewer splits than cores are spread first.
 """
 
 from __future__ import annotations

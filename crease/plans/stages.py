@@ -10,6 +10,7 @@ here, at the sink, never inside the transforms.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,8 @@ class Layout:
     source_format: str = "csv"
     table_format: str = "parquet"
     thresholds: Thresholds = field(default_factory=Thresholds)
+    # independent tables of one stage written concurrently (separate Spark jobs)
+    concurrency: int = 4
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -80,11 +83,20 @@ def gold_tables(matches: DataFrame, deliveries: DataFrame,
     }
 
 
+def _write_all(layout: Layout, jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
+    """Run independent table writes, several at a time; Spark interleaves their tasks."""
+    with ThreadPoolExecutor(max_workers=max(1, layout.concurrency)) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     matches = _read(spark, layout, "silver", "matches")
     deliveries = _read(spark, layout, "silver", "deliveries")
-    return {name: _write(build(), layout, "gold", name, "gold")
-            for name, build in gold_tables(matches, deliveries, layout.thresholds).items()}
+    builders = gold_tables(matches, deliveries, layout.thresholds)
+    return _write_all(layout, {
+        name: (lambda name=name, build=build: _write(build(), layout, "gold", name, "gold"))
+        for name, build in builders.items()})
 
 
 def report_tables(batsman: DataFrame, bowler: DataFrame, team: DataFrame, summary: DataFrame,
@@ -107,8 +119,10 @@ def run_reports(spark: SparkSession, layout: Layout) -> dict[str, int]:
               for name in ("batsman_stats", "bowler_stats", "team_season_wins", "match_summary")}
     out = report_tables(tables["batsman_stats"], tables["bowler_stats"],
                         tables["team_season_wins"], tables["match_summary"], layout.thresholds)
-    return {name: write_table(df, layout.path("reports", name), layout.table_format)
-            for name, df in out.items()}
+    return _write_all(layout, {
+        name: (lambda name=name, df=df: write_table(df, layout.path("reports", name),
+                                                    layout.table_format))
+        for name, df in out.items()})
 
 
 _RUNNERS = {"bronze": run_bronze, "silver": run_silver, "gold": run_gold,

@@ -53,22 +53,21 @@ def run_bronze(spark: SparkSession, layout: Layout) -> dict[str, int]:
         raise ValueError("bronze needs matches_source and deliveries_source")
     schemas = {"matches": MATCHES_SCHEMA, "deliveries": DELIVERIES_SCHEMA}
     sources = {"matches": layout.matches_source, "deliveries": layout.deliveries_source}
-    counts = {}
-    for table, src in sources.items():
+
+    def load(table: str) -> int:
         schema = schemas[table] if layout.source_format == "csv" else None
-        raw = ingest(spark, src, schema, layout.source_format)
-        counts[table] = _write(raw, layout, "bronze", table, "bronze")
-    return counts
+        raw = ingest(spark, sources[table], schema, layout.source_format)
+        return _write(raw, layout, "bronze", table, "bronze")
+
+    return _write_all(layout, {table: (lambda table=table: load(table)) for table in sources})
 
 
 def run_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
-    return {
-        "matches": _write(silver.clean_matches(_read(spark, layout, "bronze", "matches")),
-                          layout, "silver", "matches", "silver"),
-        "deliveries": _write(
-            silver.enrich_deliveries(_read(spark, layout, "bronze", "deliveries")),
-            layout, "silver", "deliveries", "silver"),
-    }
+    transforms = {"matches": silver.clean_matches, "deliveries": silver.enrich_deliveries}
+    return _write_all(layout, {
+        table: (lambda table=table, fn=fn: _write(
+            fn(_read(spark, layout, "bronze", table)), layout, "silver", table, "silver"))
+        for table, fn in transforms.items()})
 
 
 def gold_tables(matches: DataFrame, deliveries: DataFrame,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from crease.operators import gold, reports, silver
 from crease.operators.ranking import global_rank
+from crease.plans.jobs import run_together
 from crease.sources.adapters import deliveries_from_lineitem, matches_from_orders
 from crease.sources.files import spread
 
@@ -82,7 +83,10 @@ def q5_top_venues(spark, sf_dir):
 
 def q6_all_rounders(spark, sf_dir):
     deliveries = silver_deliveries(spark, sf_dir)
-    return reports.all_rounders(gold.batsman_stats(deliveries), gold.bowler_stats(deliveries))
+    # the two leaderboards are independent jobs (each checkpoints its ranks)
+    boards = run_together({"bat": lambda: gold.batsman_stats(deliveries),
+                           "bowl": lambda: gold.bowler_stats(deliveries)})
+    return reports.all_rounders(boards["bat"], boards["bowl"])
 
 
 def top_wicket_takers(spark, sf_dir):

@@ -10,13 +10,13 @@ here, at the sink, never inside the transforms.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from crease.config import Thresholds
 from crease.operators import gold, reports, silver
+from crease.plans.jobs import run_together
 from crease.schemas import DELIVERIES_SCHEMA, MATCHES_SCHEMA
 from crease.sources.files import ingest, read_table, with_audit, write_table
 
@@ -83,10 +83,8 @@ def gold_tables(matches: DataFrame, deliveries: DataFrame,
 
 
 def _write_all(layout: Layout, jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
-    """Run independent table writes, several at a time; Spark interleaves their tasks."""
-    with ThreadPoolExecutor(max_workers=max(1, layout.concurrency)) as pool:
-        futures = {name: pool.submit(job) for name, job in jobs.items()}
-        return {name: f.result() for name, f in futures.items()}
+    """Run a stage's independent table writes as concurrent Spark jobs."""
+    return run_together(jobs, layout.concurrency)
 
 
 def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:

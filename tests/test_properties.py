@@ -44,3 +44,23 @@ def test_approximate_match_count_is_opt_in_and_close(spark):
     # without the rank checkpoint the plan still shows the aggregation below it
     plan = gold.bowler_stats(d, approx_matches=0.02, checkpoint=False)._jdf.queryExecution().toString()
     assert "approx_count_distinct" in plan or "HyperLogLogPlusPlus" in plan
+
+
+def test_leaderboard_with_a_player_holding_a_third_of_all_balls(spark):
+    from pyspark.sql import Window
+
+    d = catalog.silver_deliveries(spark, SF["0.01"])
+    hot = d.withColumn("batsman", F.when(F.col("match_id") % 3 == 0, F.lit("HOT"))
+                       .otherwise(F.col("batsman")))
+    got = gold.batsman_stats(hot, min_matches=0)
+    # the same numbers written the plain way
+    s = (hot.filter(~F.col("is_wide")).groupBy("batsman")
+         .agg(F.sum("batsman_runs").alias("total_runs"), F.count("ball").alias("balls_faced"),
+              F.count_distinct("match_id").alias("matches_played"),
+              F.sum(F.col("is_wicket_delivery").cast("int")).alias("times_dismissed")))
+    want = s.withColumn("overall_rank", F.rank().over(Window.orderBy(F.desc("total_runs"))))
+    cols = ["batsman", "total_runs", "balls_faced", "matches_played", "times_dismissed",
+            "overall_rank"]
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+    share = hot.filter(F.col("batsman") == "HOT").count() / hot.count()
+    assert share > 0.3

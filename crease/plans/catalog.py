@@ -25,63 +25,63 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
-def bronze_matches(spark, sf_dir):
+def bronze_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches_from_orders(_table(spark, sf_dir, "orders"))
 
 
-def bronze_deliveries(spark, sf_dir):
+def bronze_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deliveries_from_lineitem(_table(spark, sf_dir, "lineitem"))
 
 
-def silver_matches(spark, sf_dir):
+def silver_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.clean_matches(bronze_matches(spark, sf_dir))
 
 
-def silver_deliveries(spark, sf_dir):
+def silver_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.enrich_deliveries(bronze_deliveries(spark, sf_dir))
 
 
-def batsman_stats(spark, sf_dir):
+def batsman_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.batsman_stats(silver_deliveries(spark, sf_dir))
 
 
-def bowler_stats(spark, sf_dir):
+def bowler_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.bowler_stats(silver_deliveries(spark, sf_dir))
 
 
-def team_season_wins(spark, sf_dir):
+def team_season_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.team_season_wins(silver_matches(spark, sf_dir))
 
 
-def innings_runs(spark, sf_dir):
+def innings_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.innings_runs(silver_deliveries(spark, sf_dir))
 
 
-def match_summary(spark, sf_dir):
+def match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.match_summary(silver_matches(spark, sf_dir), silver_deliveries(spark, sf_dir))
 
 
-def q1_top_scorers(spark, sf_dir):
+def q1_top_scorers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_scorers(batsman_stats(spark, sf_dir))
 
 
-def q2_best_economy(spark, sf_dir):
+def q2_best_economy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.best_economy(bowler_stats(spark, sf_dir))
 
 
-def q3_team_form(spark, sf_dir):
+def q3_team_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.recent_team_form(team_season_wins(spark, sf_dir))
 
 
-def q4_toss_rate(spark, sf_dir):
+def q4_toss_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.toss_decision_rate(match_summary(spark, sf_dir))
 
 
-def q5_top_venues(spark, sf_dir):
+def q5_top_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_venues(match_summary(spark, sf_dir))
 
 
-def q6_all_rounders(spark, sf_dir):
+def q6_all_rounders(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries = silver_deliveries(spark, sf_dir)
     # the two leaderboards are independent jobs (each checkpoints its ranks)
     boards = run_together({"bat": lambda: gold.batsman_stats(deliveries),
@@ -89,15 +89,15 @@ def q6_all_rounders(spark, sf_dir):
     return reports.all_rounders(boards["bat"], boards["bowl"])
 
 
-def top_wicket_takers(spark, sf_dir):
+def top_wicket_takers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_wicket_takers(bowler_stats(spark, sf_dir))
 
 
-def team_total_wins(spark, sf_dir):
+def team_total_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.team_total_wins(team_season_wins(spark, sf_dir))
 
 
-def part_quantity_rank(spark, sf_dir):
+def part_quantity_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The global rank over many entities: every part by shipped quantity.
 
     The leaderboards rank at most a few hundred players, which the rank

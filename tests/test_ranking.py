@@ -71,3 +71,9 @@ def test_string_keys_small_only(spark):
     # the bucketed plan needs numeric or date keys for its cut points
     with pytest.raises(TypeError):
         global_rank(df, "s", single_task_rows=0)
+
+
+@pytest.mark.parametrize("single_task_rows", [1_000_000, -1])
+def test_empty_input(spark, single_task_rows):
+    empty = spark.range(10).filter("id > 100").selectExpr("id", "id % 3 as k")
+    assert global_rank(empty, "k", single_task_rows=single_task_rows).count() == 0

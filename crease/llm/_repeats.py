@@ -51,22 +51,20 @@ class Sequence:
 
     def window_ok(self) -> np.ndarray:
         """Whether a whole window starts at each symbol, inside one document."""
-        ok = np.zeros(self.n, bool)
         last = np.maximum(self.bounds[1:] - self.window + 1, self.bounds[:-1])
         step = np.zeros(self.n + 1, np.int32)
         np.add.at(step, self.bounds[:-1], 1)
         np.add.at(step, last, -1)
-        ok[:] = np.cumsum(step[:-1]) > 0
-        return ok
+        return np.cumsum(step[:-1], dtype=np.int32) > 0
 
     def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First window, number of windows, key and digest of every piece."""
         none = np.zeros(0, np.int64)
         if self.n < self.window:
             return none, none, none, none
-        starts = np.arange(self.n - self.gram + 1)
-        grams = self.roll.of(starts, starts + self.gram)
-        low = (grams & ~_POSITION) | starts.astype(_U)
+        grams = self.roll.every(self.gram)
+        low = grams & ~_POSITION
+        low |= np.arange(len(grams), dtype=_U)
         span = self.window - self.gram + 1
         width = 1
         while 2 * width <= span:
@@ -286,7 +284,7 @@ def _searched(contents: DataFrame, find: Index, limit: int) -> DataFrame:
 
 
 def repeated(docs: DataFrame, id_col: str, text_col: str, symbols: Symbols, find: Index, *,
-             hot: int = 128, limit: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+             hot: int = 256, limit: int = 1 << 17) -> tuple[DataFrame, DataFrame]:
     """``(source, spans)``: the rows as ``(doc, th, text)`` and, for texts with
     repeats, ``(doc, th, starts)`` with runs of repeated window starts."""
     text = whole_text(text_col)

@@ -19,14 +19,15 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit values."""
+def mix(x: np.ndarray, own: bool = False) -> np.ndarray:
+    """A bijective scrambling of 64-bit values, in place if ``own``."""
     with np.errstate(over="ignore"):
-        x = x ^ (x >> _U(32))
-        x = x * _U(0xD6E8FEB86659FD93)
-        x = x ^ (x >> _U(32))
-        x = x * _U(0xD6E8FEB86659FD93)
-        return x ^ (x >> _U(32))
+        x = x if own else x.copy()
+        for _ in range(2):
+            x ^= x >> _U(32)
+            x *= _U(0xD6E8FEB86659FD93)
+        x ^= x >> _U(32)
+        return x
 
 
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=_U))
@@ -61,9 +62,18 @@ class Rolling:
         n = len(values)
         self._sum = np.zeros(n + 1, dtype=_U)
         with np.errstate(over="ignore"):
-            np.cumsum(values * _pow(_BASE, n)[:n], out=self._sum[1:])
+            np.multiply(values, _pow(_BASE, n)[:n], out=self._sum[1:])
+            np.cumsum(self._sum[1:], out=self._sum[1:])
         self._inverse = _pow(_INVERSE, n + 1)
 
+    def every(self, length: int) -> np.ndarray:
+        """The hash of each range of ``length`` values, as ``of`` gives it."""
+        with np.errstate(over="ignore"):
+            raw = self._sum[length:] - self._sum[:-length]
+            raw *= self._inverse[:len(raw)]
+            raw ^= _U(length) * _U(0xA0761D6478BD642F)
+        return mix(raw, own=True)
+
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             raw = (self._sum[end] - self._sum[start]) * self._inverse[start]
@@ -138,8 +148,7 @@ def shingle_hashes(words: Words, size: int) -> list[np.ndarray]:
     document of fewer words has its whole sequence as one, none without words."""
     rolling = Rolling(words.hash)
     n = len(words.hash)
-    every = rolling.of(np.arange(max(0, n - size + 1)), np.arange(size, n + 1)) \
-        if n >= size else np.zeros(0, _U)
+    every = rolling.every(size) if n >= size else np.zeros(0, _U)
     out = []
     for a, b in zip(words.first[:-1], words.first[1:], strict=True):
         if b - a >= size:

@@ -2,11 +2,12 @@
 
 A shard's pieces are joined into one word sequence, each closed by its own
 separator.  Its Burrows-Wheeler transform is kept as a wavelet tree of bit
-vectors with rank counts every 64 bits; a backward search narrows the interval
-of a pattern word by word from its end.  All windows of a shard are searched
-together, one numpy step per pattern word and tree level.  The length of the
-longest suffix of a window that still occurs twice is the window's matching
-statistic; it reaches the threshold where the whole window occurs twice.
+vectors with rank counts every 64 bits.  Pieces are streamed through the index
+from their ends by backward search, one word at a time and all pieces of a
+shard together; a bit per row marks where the depth of the common prefix falls
+below the threshold, so that each step also gives the interval of the window
+that begins here.  Where that interval has several rows, the matching
+statistic of the place reaches the threshold.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crease.llm._repeats import SpacedWords, removal
-from crease.llm.suffixes import suffix_array
+from crease.llm.suffixes import Suffixes
 
 
 class BitVector:
@@ -60,54 +61,68 @@ class WaveletTree:
         return at - start
 
 
+class Intervals:
+    """The rows of an index in intervals that share their first ``depth`` symbols."""
+
+    def __init__(self, begins: np.ndarray):
+        self._of_row = np.cumsum(begins, dtype=np.int32) - 1
+        self.size = np.diff(np.append(np.flatnonzero(begins), len(begins)))
+
+    def of(self, row: np.ndarray) -> np.ndarray:
+        return self._of_row[row]
+
+
 class FMIndex:
-    """Backward search over a sequence of integers from 0."""
+    """Backward steps over a sequence of integers from 0."""
 
-    def __init__(self, values: np.ndarray):
-        order = suffix_array(values)
-        self.n = len(values)
+    def __init__(self, values: np.ndarray, depth: int):
+        suffixes = Suffixes(values, boundary=depth)
         sigma = int(values.max()) + 1
         self.before = np.concatenate([[0], np.cumsum(np.bincount(values, minlength=sigma))])
-        self.tree = WaveletTree(values[order - 1], sigma)  # the symbol before each suffix
-
-    def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray):
-        """Intervals of ``symbol + pattern`` from those of ``pattern``."""
-        base = self.before[symbol]
-        return base + self.tree.rank(symbol, low), base + self.tree.rank(symbol, high)
-
-
-def matching_statistics(index, text: np.ndarray, starts: np.ndarray, window: int):
-    """For each window of ``text``: the length of its longest suffix that occurs
-    at least twice in the index, and the interval of that suffix."""
-    low = np.zeros(len(starts), np.int64)
-    high = np.full(len(starts), index.n, np.int64)
-    length = np.zeros(len(starts), np.int64)
-    alive = np.arange(len(starts))
-    for back in range(window - 1, -1, -1):
-        a, b = index.extend(text[starts[alive] + back], low[alive], high[alive])
-        go = b - a > 1
-        alive = alive[go]
-        low[alive], high[alive] = a[go], b[go]
-        length[alive] += 1
-        if not len(alive):
-            break
-    return length, low, high
+        self.tree = WaveletTree(values[suffixes.order - 1], sigma)  # the symbol before each
+        self.intervals = Intervals(suffixes.begins)
+
+    def step(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """The row of ``symbol + suffix`` from the row of ``suffix``."""
+        return self.before[symbol] + self.tree.rank(symbol, row)
+
+
+def matching_intervals(index, text: np.ndarray, begins: np.ndarray, ends: np.ndarray
+                       ) -> np.ndarray:
+    """For each place of the pieces ``begins[i]:ends[i]`` of ``text``, the interval of
+    the window that begins there.  Separator ``i`` closes piece ``i`` and is the
+    smallest symbol but for ``i`` others, so its suffix is row ``i``."""
+    found = np.full(len(text), -1, np.int32)
+    by_size = np.argsort(begins - ends)  # longest first
+    end, size = ends[by_size], (ends - begins)[by_size]
+    row = by_size.astype(np.int64)
+    for back in range(1, int(size[0]) + 1 if len(size) else 0):
+        live = int(np.searchsorted(-size, -back, side="right"))
+        at = end[:live] - back
+        row = index.step(text[at], row[:live])
+        found[at] = index.intervals.of(row)
+    return found
 
 
 def repeats_in(index_of, text: np.ndarray, ends: np.ndarray, window: int):
-    """``(piece, start, 1)`` of windows whose text is also in the shard earlier.
+    """``(piece, start, count)``: runs of windows that are also in the shard earlier.
     ``ends[i]`` is where piece ``i`` ends; its separator follows."""
+    index = index_of(text, window)
     begins = np.concatenate([[0], ends[:-1] + 1])
+    interval = matching_intervals(index, text, begins, ends)
     count = np.maximum(ends - begins - window + 1, 0)
     piece = np.repeat(np.arange(len(ends)), count)
     offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    starts = begins[piece] + offset
-    length, low, _ = matching_statistics(index_of(text), text, starts, window)
-    whole = np.flatnonzero(length >= window)
+    interval = interval[begins[piece] + offset]
+    several = np.flatnonzero(index.intervals.size[interval] > 1)
     # windows are in order, earliest first: the first of each interval stays
-    first = np.unique(low[whole], return_index=True)[1]
-    later = np.delete(whole, first)
-    return piece[later], offset[later], np.ones(len(later), np.int64)
+    first = np.unique(interval[several], return_index=True)[1]
+    later = np.delete(several, first)
+    piece, offset = piece[later], offset[later]
+    new = np.ones(len(later), bool)
+    new[1:] = (piece[1:] != piece[:-1]) | (offset[1:] != offset[:-1] + 1)
+    run = np.flatnonzero(new)
+    return piece[run], offset[run], np.diff(np.append(run, len(later)))
 
 
 def _find(window: int):

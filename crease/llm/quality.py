@@ -36,8 +36,7 @@ def _repeat_words(words: _text.Words) -> np.ndarray:
     n = len(words.hash)
     if n < _WINDOW:
         return out
-    at = np.arange(n - _WINDOW + 1)
-    grams = _text.Rolling(words.hash).of(at, at + _WINDOW)
+    grams = _text.Rolling(words.hash).every(_WINDOW)
     for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
         if b - a <= _WINDOW:
             continue

@@ -4,8 +4,9 @@ The Burrows-Wheeler transform of a shard is kept as its runs only: the symbol
 and first row of each run, per symbol the list of its runs with the number of
 that symbol before each, and the text positions of the suffixes at the run
 ends.  In a repetitive shard there are far fewer runs than bytes.  Ranks are
-found by binary search among the runs of the symbol; all windows of a shard
-are searched together, one numpy step per byte.
+found by binary search among the runs of the symbol.  Pieces are streamed from
+their ends, one byte at a time and all pieces of a shard together, as in the
+index over words (``fm_index``).
 """
 
 from __future__ import annotations
@@ -15,15 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crease.llm._repeats import Bytes, removal
-from crease.llm.fm_index import repeats_in
-from crease.llm.suffixes import suffix_array
+from crease.llm.fm_index import Intervals, repeats_in
+from crease.llm.suffixes import Suffixes
 
 
 class RunIndex:
-    """Backward search in the space of the runs of the transform."""
+    """Backward steps in the space of the runs of the transform."""
 
-    def __init__(self, values: np.ndarray):
-        order = suffix_array(values)
+    def __init__(self, values: np.ndarray, depth: int):
+        suffixes = Suffixes(values, boundary=depth)
+        order = suffixes.order
+        self.intervals = Intervals(suffixes.begins)
         self.n = n = len(values)
         bwt = values[order - 1]
         head = np.flatnonzero(np.concatenate([[True], bwt[1:] != bwt[:-1]]))
@@ -48,9 +51,9 @@ class RunIndex:
         inside = np.minimum(at - self.head[run], self.size[run])
         return np.where(here, self.seen[run] + inside, 0)
 
-    def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray):
-        base = self.before[symbol]
-        return base + self.rank(symbol, low), base + self.rank(symbol, high)
+    def step(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """The row of ``symbol + suffix`` from the row of ``suffix``."""
+        return self.before[symbol] + self.rank(symbol, row)
 
 
 def _find(window: int):

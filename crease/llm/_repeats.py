@@ -195,23 +195,29 @@ def _contents(source: DataFrame, wanted: DataFrame, symbols: Symbols) -> DataFra
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for doc, th, text, pieces in zip(
-                    batch.column("doc").to_pylist(), batch.column("th").to_pylist(), texts,
-                    batch.column("pieces").to_pylist(), strict=True):
-                h = np.array([p["h"] for p in pieces], np.int64)
-                at = np.array([p["at"] for p in pieces], np.int64)
-                hot = np.array([p["hot"] for p in pieces], bool)
+            docs = batch.column("doc").to_numpy(zero_copy_only=False)
+            lists = batch.column("pieces")
+            bounds = lists.offsets.to_numpy()
+            all_h, all_at, all_hot = (
+                lists.values.field(name).to_numpy(zero_copy_only=False)
+                for name in ("h", "at", "hot"))
+            found: list[bytes] = []
+            for i, text in enumerate(texts):
+                mine = slice(bounds[i], bounds[i + 1])
+                h, at, hot = all_h[mine], all_at[mine], all_hot[mine].astype(bool)
                 start, n = (at >> 8) & 0xFFFFFFFF, at & 0xFF
-                spans = list(zip(start.tolist(), (start + n + window - 1).tolist(), strict=True))
-                cold = np.flatnonzero(~hot)
-                found = symbols.contents(text, [spans[i] for i in cold])
-                if len(cold):
-                    yield pa.record_batch({
-                        "h": h[cold], "dig": np.zeros(len(cold), np.int64),
-                        "doc": np.full(len(cold), doc, np.int64), "at": at[cold],
-                        "content": pa.array(found, pa.binary())})
+                end = start + n + window - 1
+                found += symbols.contents(text, list(zip(
+                    start[~hot].tolist(), end[~hot].tolist(), strict=True)))
                 if hot.any():
-                    yield _windows(doc, th, text, h[hot], start[hot], n[hot], symbols)
+                    yield _windows(int(docs[i]), int(at[0] >> 40), text, h[hot], start[hot],
+                                   n[hot], symbols)
+            cold = np.flatnonzero(~all_hot[bounds[0]:bounds[-1]].astype(bool)) + bounds[0]
+            owner = np.searchsorted(bounds, cold, side="right") - 1
+            yield pa.record_batch({
+                "h": all_h[cold], "dig": np.zeros(len(cold), np.int64),
+                "doc": docs[owner], "at": all_at[cold],
+                "content": pa.array(found, pa.binary())})
 
     return saved(map_batches(rows.select("doc", "th", "text", "pieces"), read,
                              PIECE + ", content binary"), "contents")

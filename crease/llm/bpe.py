@@ -9,8 +9,7 @@ are stale and skipped when they come up.  Decoding concatenates the strings of
 the vocabulary, with the space that separates tokens where the file names no
 decoder.
 
-White space never joins two tokens, so a text is encoded space by space and
-each distinct chunk once per task.
+Each distinct pre-token is merged once while a worker remembers it.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ import json
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from crease.llm._common import map_batches, whole_text
+from crease.llm._text import groups, utf8
+from crease.llm.pretokens import Memory, encode_plain, spread
 
 #: distinct chunks remembered by a task before the memory starts anew
 REMEMBERED = 200_000
@@ -186,24 +188,44 @@ def chunks(text: str) -> list[str]:
 
 
 class Encoder:
-    """Encodes whole texts, each distinct chunk once while it is remembered."""
+    """Encodes whole texts, each distinct pre-token once while it is remembered."""
 
     def __init__(self, codec: Codec):
         self.codec = codec
-        self.known = Remembered()
-
-    def __call__(self, text: str) -> tuple[list[int], str]:
-        """The ids of a text and the text decoded from them."""
-        get, parts = self.known.get, []
+        self.memory = Memory(lambda words: [codec.merge(w) for w in words])
+        self.chunks = Remembered()
+        strings = [s.encode() + codec.joint.encode() for s in
+                   (codec.strings.get(i, "") for i in range(max(codec.strings) + 1))]
+        self.size = np.array([len(s) for s in strings], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(strings), np.uint8)
+
+    def slow(self, text: str) -> np.ndarray:
+        """The ids of one text by all steps of the file, chunk by chunk."""
+        ids: list[int] = []
         for chunk in chunks(text):
-            got = get(chunk)
+            got = self.chunks.get(chunk)
             if got is None:
-                ids = self.codec.chunk(chunk)
-                got = self.known[chunk] = tuple(ids), self.codec.decode(ids)
-            if got[0]:
-                parts.append(got)
-        return ([i for ids, _ in parts for i in ids],
-                self.codec.joint.join([decoded for _, decoded in parts]))
+                got = self.chunks[chunk] = tuple(self.codec.chunk(chunk))
+            ids += got
+        return np.array(ids, np.uint32)
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        cut = self.codec.cut
+        special = [bool(cut and cut.search(t)) for t in texts]
+        done = iter(encode_plain([t for t, x in zip(texts, special, strict=True) if not x],
+                                 self.memory))
+        found = [None if x else next(done) for x in special]
+        return [self.slow(t) if f is None else f for t, f in zip(texts, found, strict=True)]
+
+    def decoded(self, ids: list[np.ndarray]) -> list[bytes]:
+        """The strings of the ids of each text, one after the other."""
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        size = self.size[flat]
+        raw = self.bytes[spread(self.begin[flat], size)].tobytes()
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, ids)])].tolist()
+        last = len(self.codec.joint)  # follows each string here, but joins them there
+        return [raw[a:max(a, b - last)] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -235,16 +257,15 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder_for(name)
         for batch in batches:
-            for part in _small(batch):
-                done = [encode(text) for text in part.column("text").to_pylist()]
+            _, offsets = utf8(batch.column("text"))
+            for a, b in groups(offsets):
+                part = batch.slice(a, b - a)
+                ids = encode(part.column("text").to_pylist())
                 yield pa.record_batch({
                     "row": part.column("row"),
-                    "token_ids": pa.array([ids for ids, _ in done], pa.list_(pa.int32())),
-                    "decoded": pa.array([decoded for _, decoded in done], pa.string())})
+                    "token_ids": pa.ListArray.from_arrays(
+                        pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()),
+                        pa.array(np.concatenate(ids).astype(np.int32))),
+                    "decoded": pa.array(encode.decoded(ids), pa.binary()).cast(pa.string())})
 
     return map_batches(given, run, schema)
-
-
-def _small(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(batch), rows):
-        yield batch.slice(at, rows)

@@ -16,10 +16,8 @@ a shard; a longer document is a block of its own.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crease.llm._common import map_batches, map_rows, partitions, whole_text
-from crease.llm.bpe import Remembered, chunks
+from crease.llm._text import groups, utf8
+from crease.llm.pretokens import Memory, encode_plain
 
 
 class EliasFano:
@@ -78,13 +77,10 @@ class EliasFano:
         return value
 
 
-#: a chunk of plain letters and the marks after it; neither can join the other
-_WORD_AND_MARKS = re.compile(r"([A-Za-z]+)([.,;:!?#$%&*]*)")
-
-
 class LibraryEncoder:
-    """Ids from the tokenizers library.  Each distinct chunk is put together once
-    while it is remembered, from parts that the library has encoded once."""
+    """Ids from the tokenizers library, each distinct pre-token encoded once while
+    it is remembered; texts that the tables of ``pretokens`` do not reach are
+    encoded whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -93,33 +89,19 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known = Remembered()
-        self.parts = Remembered()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.memory = Memory(self._encode)
 
-    def _split(self, chunk: str) -> list[str]:
-        found = _WORD_AND_MARKS.fullmatch(chunk)
-        return [found[1].lower(), *([found[2]] if found[2] else ())] if found else [chunk]
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [chunks(text) for text in texts]
-        table: dict[str, list[int]] = {}
-        new: dict[str, list[str]] = {}
-        for chunk in dict.fromkeys(chain.from_iterable(cut)):
-            got = self.known.get(chunk)
-            if got is None:
-                new[chunk] = self._split(chunk)
-            else:
-                table[chunk] = got
-        parts = {p: self.parts.get(p) for ps in new.values() for p in ps}
-        ask = [p for p, ids in parts.items() if ids is None]
-        for p, e in zip(ask, self.tokenizer.encode_batch(ask, add_special_tokens=False),
-                        strict=True):
-            parts[p] = self.parts[p] = e.ids
-        for chunk, ps in new.items():
-            ids = parts[ps[0]] if len(ps) == 1 else parts[ps[0]] + parts[ps[1]]
-            table[chunk] = self.known[chunk] = ids
-        get = table.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, cs)), np.uint32) for cs in cut]
+        simple = [not any(s in t for s in self.special) for t in texts]
+        done = iter(encode_plain([t for t, x in zip(texts, simple, strict=True) if x],
+                                 self.memory))
+        found = [next(done) if x else None for x in simple]
+        rest = iter(self._encode([t for t, f in zip(texts, found, strict=True) if f is None]))
+        return [np.array(next(rest), np.uint32) if f is None else f for f in found]
 
 
 _encoders: dict[str, LibraryEncoder] = {}
@@ -177,8 +159,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, *,
                 "ids": pa.array([ids.astype(f"<u{width}").tobytes()], pa.binary())})
 
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
+            _, offsets = utf8(batch.column("text"))
+            for a, b in groups(offsets):
+                part = batch.slice(a, b - a)
                 shard = part.column("shard")[0].as_py()
                 for doc, ids in zip(part.column("doc").to_pylist(),
                                     encode(part.column("text").to_pylist()), strict=True):

@@ -62,7 +62,7 @@ class Memory:
     anew, so that a task's memory stays bounded whatever the corpus.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], size: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], size: int = 1_000_000):
         self.encode = encode
         self.size = size
         self.clear()

@@ -104,18 +104,19 @@ def host_verdicts(measured: DataFrame, reject_rate: float) -> DataFrame:
         (F.sum("fails") / F.sum("docs")).alias("mean"), F.sum("docs").alias("n"),
         F.sum(F.col("docs") * share * share).alias("square"),
         F.count(F.lit(1)).alias("hosts"))
-    # one row: mean m, spread v of the shares without what chance adds
-    mean, n = F.col("mean"), F.col("n")
-    chance = mean * (1 - mean) * F.col("hosts") / n
-    spread = F.greatest(F.col("square") / n - mean * mean - chance, F.lit(1e-9))
-    strength = F.least(F.greatest(mean * (1 - mean) / spread - 1, F.lit(1.0)), F.lit(1e6))
-    prior = moments.select(mean.alias("mean"), strength.alias("strength"))
-    rate = ((F.col("fails") + F.col("mean") * F.col("strength"))
-            / (F.col("docs") + F.col("strength")))
-    return (hosts.crossJoin(F.broadcast(prior))  # one row of two numbers
-            .withColumn("rate", rate)
-            .select("host", "docs", "fails", "rate", (F.col("rate") >= reject_rate)
-                    .alias("rejected")))
+    # one row of numbers, whatever the number of hosts
+    row = moments.first()
+    if not row.n:
+        return hosts.select("host", "docs", "fails", share.alias("rate"),
+                            F.lit(False).alias("rejected"))
+    mean = row.mean
+    # the spread of the shares without what chance adds
+    chance = mean * (1 - mean) * row.hosts / row.n
+    spread = max(row.square / row.n - mean * mean - chance, 1e-9)
+    strength = min(max(mean * (1 - mean) / spread - 1, 1.0), 1e6)
+    rate = (F.col("fails") + mean * strength) / (F.col("docs") + strength)
+    return hosts.select("host", "docs", "fails", rate.alias("rate"),
+                        (rate >= reject_rate).alias("rejected"))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -26,7 +26,10 @@ _SPACE = r"[\x20\x09-\x0D]+"
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, _SPACE, -1), lambda w: w != "")
+    # most lines hold single spaces only: these split at a character, without a pattern
+    uneven = F.regexp_like(line, F.lit(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$|^$"))
+    return F.when(uneven, F.filter(F.split(line, _SPACE, -1), lambda w: w != "")) \
+        .otherwise(F.split(line, " ", -1))
 
 
 def _key(words: Column) -> Column:
@@ -56,18 +59,19 @@ def _within_one_edit(a: Column, b: Column) -> Column:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """``(variant, place, line, first)`` for ``lines(line, first, words)``: the line as
-    it is at place -1 and the line without its word at each place."""
+    """``(variant, place, line, first)`` for ``lines(line, copy, first, words)``: the line
+    as it is at place -1 and the line without its word at each place."""
     n = F.size("words")
-    words = lines.select("line", "first", n.alias("n"), F.posexplode("words").alias("place", "w"))
+    words = lines.select("line", "copy", "first", n.alias("n"),
+                         F.posexplode("words").alias("place", "w"))
     words = words.withColumns({"here": F.xxhash64("w", "place"),
                                "moved": F.xxhash64("w", F.col("place") - 1)})
-    order = Window.partitionBy("line").orderBy("place")
+    order = Window.partitionBy("line", "copy").orderBy("place")
     until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     words = words.withColumns({
         "here_to": F.expr("bit_xor(here)").over(until),
         "moved_to": F.expr("bit_xor(moved)").over(until),
-        "moved_all": F.expr("bit_xor(moved)").over(Window.partitionBy("line")),
+        "moved_all": F.expr("bit_xor(moved)").over(Window.partitionBy("line", "copy")),
         "last": F.col("place") == F.col("n") - 1})
     before = F.col("here_to").bitwiseXOR(F.col("here"))
     after = F.col("moved_all").bitwiseXOR(F.col("moved_to"))
@@ -107,10 +111,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = whole_text(text_col)
     source = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("tie"),
                          text.alias("text"))
-    lines = source.select("doc", "tie", F.posexplode(F.split("text", "\n", -1))
-                          .alias("line_no", "body"))
-    lines = lines.withColumn("words", _words(F.col("body"))) \
-        .withColumn("n", F.size("words")).where(F.col("n") >= min_words)
+    # the words come out of the generator, so that no later expression splits again
+    lines = source.select("doc", "tie", F.posexplode(F.transform(
+        F.split("text", "\n", -1), _words)).alias("line_no", "words"))
+    lines = lines.withColumn("n", F.size("words")).where(F.col("n") >= min_words)
     found = saved(lines.select("doc", "tie", "line_no", _key(F.col("words")).alias("line"),
                                _half_keys(F.col("words"), F.col("n")).alias("halves")), "lines")
     once = saved(found.groupBy("line").agg(
@@ -133,15 +137,15 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("want.line").alias("line"),
         F.struct("doc", "tie", F.col("want.line_no").alias("line_no")).alias("first"),
         _words(F.col("body")[F.col("want.line_no")]).alias("words"))
-    # rows that repeat both id and text give a line more than once
-    bodies = saved(bodies.groupBy("line").agg(F.first("first").alias("first"),
-                                              F.first("words").alias("words")), "bodies")
+    # rows that repeat both id and text give a line more than once, told apart by ``copy``
+    bodies = saved(bodies.withColumn("copy", F.monotonically_increasing_id()), "bodies")
     variants = saved(_variants(bodies), "variants")
     pairs = saved(_witnesses(variants), "pairs")
     mine = bodies.select("line", F.col("words").alias("a"))
     other = bodies.select(F.col("line").alias("witness"), F.col("words").alias("b"))
     edited = saved(pairs.join(mine, "line").join(other, "witness")
-                   .where(_within_one_edit(F.col("a"), F.col("b"))).select("line"), "edited")
+                   .where(_within_one_edit(F.col("a"), F.col("b"))).select("line").distinct(),
+                   "edited")
 
     judged = saved(once.select("line", "first", "copies")
                    .join(edited.withColumn("edited", F.lit(True)), "line", "left")

@@ -1,67 +1,70 @@
 """Global ``rank()`` without a single-partition window.
 
 ``rank().over(Window.orderBy(k))`` moves every row to one task.  Here the
-rank of a key is ``1 + (rows ordered strictly before it)``, computed as:
+rank of a key is ``1 + (rows ordered strictly before it)``, computed the same
+way at every size and for every orderable type:
 
 1. ``per_key``: one row per distinct key with its row count (partial
    aggregation before the shuffle, so a key holding a third of all rows is one
-   row after the map side).
-2. Cut points: approximate quantiles of the distinct keys, evaluated as a
-   scalar subquery inside the same plan (no driver action).
+   row after the map side), stored once.
+2. Cut points: distinct keys are dealt into slots by a hash, one key per slot
+   is kept, and the kept keys (at most ``SLOTS_PER_BUCKET * buckets``) are
+   sorted; evenly spaced ones are the cuts.  Their quality changes the balance
+   of the buckets only, never a rank.
 3. Each key's range bucket is the number of cuts ordered before it; equal
    keys always share a bucket, buckets are ordered ranges and hold about the
-   same number of *distinct* keys whatever the row skew.  The cut array is
-   referenced once, so stacking ranks keeps the plan linear in size.
+   same number of *distinct* keys whatever the row skew.
 4. Bucket offsets: per-bucket row totals (at most ``buckets + 1`` rows, so the
    broadcast is bounded by the parameter, not by the data) summed in order.
 5. Inside a bucket, a running sum over the sorted distinct keys.
 6. ``rank = 1 + offset + running sum``, joined back on the key (null-safe).
 
 NULL keys sort as Spark does: first when ascending, last when descending.
-Inputs whose checked row count is small skip all this for a plain window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from crease.session import ensure_checkpoint_dir
 
-DEFAULT_BUCKETS = 64
-DEFAULT_ACCURACY = 10000
-# checked row count up to which one task ranks everything with a plain window
-# (one sort of at most a million rows; the window buffer spills if it must)
-DEFAULT_SINGLE_TASK_ROWS = 1_000_000
+# keys sampled for each bucket's cut point
+SLOTS_PER_BUCKET = 32
 
 _N, _B, _OFF, _K = "__n", "__bucket", "__offset", "__key"
 
 
+def _cuts(per_key: DataFrame, buckets: int):
+    """A sorted array of at most ``buckets - 1`` keys, as a scalar subquery."""
+    slots = SLOTS_PER_BUCKET * buckets
+    kept = (per_key.where(F.col(_K).isNotNull())
+            .groupBy(F.pmod(F.xxhash64(_K), F.lit(slots)))
+            .agg(F.min_by(_K, F.xxhash64(F.lit(1), _K)).alias(_K))
+            .agg(F.sort_array(F.collect_list(_K)).alias("kept")))
+    step = F.size("kept") / F.lit(buckets)
+    places = F.sequence(F.lit(1), F.lit(buckets - 1))
+    return kept.select(F.filter(
+        F.transform(places, lambda i: F.get("kept", F.floor(i * step).cast("int"))),
+        lambda k: k.isNotNull())).scalar()
+
+
 def _key_ranks(df: DataFrame, key: str, descending: bool, name: str, buckets: int,
-               accuracy: int) -> DataFrame:
+               checkpoint: bool) -> DataFrame:
     """``(__key, name)``: the rank of every distinct value of ``key`` in ``df``."""
-    dtype = df.schema[key].dataType
-    if not isinstance(dtype, (NumericType, DateType, TimestampType, TimestampNTZType)):
-        raise TypeError(f"global_rank needs a numeric/date key, got {dtype.simpleString()}")
-    if buckets < 1:
-        raise ValueError("buckets must be >= 1")
+    k = F.col(_K)
+    per_key = df.groupBy(F.col(key).alias(_K)).agg(F.count(F.lit(1)).alias(_N))
+    if checkpoint:  # read for the cuts, the bucket totals and the running counts
+        per_key = per_key.checkpoint(eager=True)
 
-    k = F.col(key)
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias(_N))
-
-    n_cuts = buckets - 1
-    if n_cuts:
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = per_key.select(F.percentile_approx(k, probs, accuracy)).scalar()
-        # cuts ordered strictly before the key = where the key first appears
-        # once it is sorted in among them (larger first when descending)
-        merged = F.sort_array(F.array_append(cuts, k.cast(dtype)), asc=not descending)
-        # all-NULL input gives NULL cuts; one bucket is then correct
+    null_bucket = F.lit(buckets if descending else -1)
+    if buckets > 1:
+        # cuts ordered strictly before the key = where the key first appears once it
+        # is sorted in among them (larger first when descending)
+        merged = F.sort_array(F.array_append(_cuts(per_key, buckets), k), asc=not descending)
         inner = F.coalesce(F.array_position(merged, k) - 1, F.lit(0))
     else:
         inner = F.lit(0)
-    null_bucket = F.lit(buckets if descending else -1)
     bucketed = per_key.withColumn(_B, F.when(k.isNull(), null_bucket).otherwise(inner))
 
     order = k.desc_nulls_last() if descending else k.asc_nulls_first()
@@ -75,43 +78,37 @@ def _key_ranks(df: DataFrame, key: str, descending: bool, name: str, buckets: in
     # at most buckets + 1 rows: a size bound set by the parameter
     offsets = bucketed.groupBy(_B).agg(F.sum(_N).alias(_N)).select(_B, before_bucket.alias(_OFF))
 
-    return (bucketed.select(k.alias(_K), _B, before_in_bucket.alias("__within"))
+    return (bucketed.select(_K, _B, before_in_bucket.alias("__within"))
             .join(F.broadcast(offsets), _B)
             .select(_K, (F.lit(1) + F.col(_OFF) + F.col("__within")).cast("int").alias(name)))
 
 
 def global_ranks(df: DataFrame, specs: list[tuple[str, bool, str]], *,
-                 buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY,
-                 checkpoint: bool = True,
-                 single_task_rows: int = DEFAULT_SINGLE_TASK_ROWS) -> DataFrame:
+                 buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
     """Append one rank column per ``(key, descending, name)``.
 
+    ``buckets`` is the number of tasks that share the sort of the distinct
+    keys, by default the session's shuffle partitions.
+
     Ranking reads its input several times (cut points, bucket totals, the
     running counts and the join back), and each read prunes different
     columns, so Spark cannot share one computation of ``df`` between them.
-    With ``checkpoint`` the input is therefore written once to the session's
-    checkpoint folder (an eager job) and every read uses that copy; this also
-    cuts the lineage, so a lost executor does not recompute the upstream.
-
-    The same job counts the rows.  At most ``single_task_rows`` rows are
-    ranked by a plain window in one task (a bound checked on the data, not
-    assumed); anything larger takes the bucketed plan above.  Every rank is
-    computed from the one input, never nested inside another rank's plan.
+    With ``checkpoint`` the input and each rank's key counts are therefore
+    written once to the session's checkpoint folder (eager jobs) and every
+    read uses those copies; this also cuts the lineage, so a lost executor
+    does not recompute the upstream.  Every rank is computed from the one
+    input, never nested inside another rank's plan.
     """
-    rows = None
+    if buckets is None:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if buckets < 1:
+        raise ValueError("buckets must be >= 1")
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
-        seen = Observation()
-        df = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-        rows = seen.get["rows"]
-    if rows is not None and rows <= single_task_rows:
-        return df.withColumns({
-            name: F.rank().over(Window.orderBy(
-                F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_first()))
-            for key, descending, name in specs})
+        df = df.checkpoint(eager=True)
     out = df
     for key, descending, name in specs:
-        ranks = _key_ranks(df, key, descending, name, buckets, accuracy)
+        ranks = _key_ranks(df, key, descending, name, buckets, checkpoint)
         # null-safe: NULL keys rank too
         out = out.join(ranks, F.col(key).eqNullSafe(F.col(_K)), "inner").drop(_K)
     return out.select(*[F.col(c) for c in df.columns], *[F.col(n) for _, _, n in specs])

@@ -3,8 +3,8 @@
 Every entry takes ``(spark, sf_dir)``, reads ``orders``/``lineitem`` through
 the adapters and returns a DataFrame covering the whole tables, with the
 layers composed in one plan.  Entries that rank (the leaderboards and the
-reports on them) run their rank input's checkpoint job when called; the rest
-stay lazy.  Scans with fewer splits than cores are spread first.
+reports on them) run their ranks' checkpoint jobs when called; the rest stay
+lazy.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from crease.operators import gold, reports, silver
 from crease.operators.ranking import global_rank
 from crease.plans.jobs import run_together
+from crease.session import ensure_checkpoint_dir
 from crease.sources.adapters import deliveries_from_lineitem, matches_from_orders
-from crease.sources.files import spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def bronze_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,8 +81,15 @@ def q5_top_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_venues(match_summary(spark, sf_dir))
 
 
+CAREER_COLUMNS = ["match_id", "batsman", "bowler", "ball", "batsman_runs", "total_runs",
+                  "is_boundary", "is_six", "is_four", "is_dot_ball", "is_wicket_delivery",
+                  "is_wide", "is_noball"]
+
+
 def q6_all_rounders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deliveries = silver_deliveries(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
+    # cleaned once for both boards, with the columns they read
+    deliveries = silver_deliveries(spark, sf_dir).select(*CAREER_COLUMNS).checkpoint(eager=True)
     # the two leaderboards are independent jobs (each checkpoints its ranks)
     boards = run_together({"bat": lambda: gold.batsman_stats(deliveries),
                            "bowl": lambda: gold.bowler_stats(deliveries)})
@@ -100,16 +107,18 @@ def team_total_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def part_quantity_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The global rank over many entities: every part by shipped quantity.
 
-    The leaderboards rank at most a few hundred players, which the rank
-    operator hands to one task after checking the count.  This query always
-    takes the bucketed plan (``single_task_rows=0``) over ``lineitem``
-    grouped by part, so that plan is checked where buckets, ties and the join
-    back really matter.
+    The leaderboards rank at most a few hundred players; here buckets, ties and
+    the join back matter.
     """
     parts = (_table(spark, sf_dir, "lineitem").groupBy("l_partkey")
              .agg(F.sum("l_quantity").cast("bigint").alias("total_quantity")))
-    return global_rank(parts, "total_quantity", descending=True, name="quantity_rank",
-                       single_task_rows=0)
+    return global_rank(parts, "total_quantity", descending=True, name="quantity_rank")
+
+
+def venue_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The global rank over a text column: matches in the order of their venues."""
+    matches = silver_matches(spark, sf_dir).select("id", "venue")
+    return global_rank(matches, "venue", name="venue_rank")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -131,4 +140,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_wicket_takers": top_wicket_takers,
     "team_total_wins": team_total_wins,
     "part_quantity_rank": part_quantity_rank,
+    "venue_rank": venue_rank,
 }

@@ -205,4 +205,7 @@ SELECT l_partkey, total_quantity,
  CAST(rank() OVER (ORDER BY total_quantity DESC NULLS LAST) AS INT) AS quantity_rank
 FROM (SELECT l_partkey, CAST(sum(l_quantity) AS BIGINT) AS total_quantity
  FROM lineitem GROUP BY l_partkey) p""".strip(),
+    "venue_rank": _with("""
+SELECT id, venue, CAST(rank() OVER (ORDER BY venue NULLS FIRST) AS INT) AS venue_rank
+FROM silver_matches""", "silver_matches"),
 }

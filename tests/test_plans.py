@@ -61,17 +61,11 @@ def test_dedup_combines_before_its_shuffle(spark):
 def test_bucketed_rank_single_partition_only_over_bounded_data(spark):
     li = spark.read.parquet(f"{SF['0.01']}/lineitem.parquet")
     parts = li.groupBy("l_partkey").agg(F.sum("l_quantity").alias("q"))
-    plan = _plan(global_rank(parts, "q", single_task_rows=0, buckets=16))
+    plan = _plan(global_rank(parts, "q", buckets=16))
     lines = plan.splitlines()
     children = [lines[i + 1] for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
     assert children
-    # single-partition exchanges feed only the quantile sketch and the bucket offsets
+    # single-partition exchanges feed only the sampled keys and the bucket offsets
     for child in children:
-        assert "partial_percentile_approx" in child or "keys=[__bucket" in child, child
+        assert "partial_collect_list" in child or "keys=[__bucket" in child, child
     assert "rank(" not in plan
-
-
-def test_small_rank_uses_one_window_after_count(spark):
-    df = spark.range(100).withColumn("k", F.col("id") % 7)
-    assert "Window [rank(" in _plan(global_rank(df, "k"))
-    assert "Window [rank(" not in _plan(global_rank(df, "k", single_task_rows=50))

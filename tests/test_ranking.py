@@ -31,7 +31,7 @@ def parts(spark):
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("buckets", [1, 2, 7, 64])
 def test_bucketed_rank_matches_window(parts, descending, buckets):
-    _check(parts, "qty", descending, buckets=buckets, single_task_rows=0)
+    _check(parts, "qty", descending, buckets=buckets)
 
 
 @pytest.mark.parametrize("descending", [False, True])
@@ -40,40 +40,64 @@ def test_heavy_ties_and_nulls(parts, descending):
     df = parts.withColumn("k", F.when(F.col("l_partkey") % 3 == 0, F.lit(7))
                                .when(F.col("l_partkey") % 11 == 0, F.lit(None))
                                .otherwise(F.col("lines")))
-    _check(df, "k", descending, buckets=16, single_task_rows=0)
+    _check(df, "k", descending, buckets=16)
     _check(df, "k", descending)
 
 
 def test_all_null_keys(spark):
     df = spark.range(50).select(F.lit(None).cast("double").alias("k"))
-    ranked = global_rank(df, "k", single_task_rows=0).collect()
+    ranked = global_rank(df, "k").collect()
     assert {r.rank for r in ranked} == {1}
 
 
 def test_double_keys_and_two_ranks(parts):
     df = parts.withColumn("ratio", F.round(F.col("qty") / F.col("lines"), 1))
-    ranked = global_ranks(df, [("ratio", False, "r1"), ("lines", True, "r2")],
-                          single_task_rows=0)
+    ranked = global_ranks(df, [("ratio", False, "r1"), ("lines", True, "r2")])
     check = _expected(_expected(ranked, "ratio", False, "e1"), "lines", True, "e2")
     assert check.filter((F.col("r1") != F.col("e1")) | (F.col("r2") != F.col("e2"))).count() == 0
 
 
-def test_bucketed_plan_has_no_single_partition_over_rows(parts):
-    ranked = global_rank(parts, "qty", descending=True, single_task_rows=0, buckets=8)
+def test_no_step_gathers_all_rows_in_one_task(parts):
+    ranked = global_rank(parts, "qty", descending=True, buckets=8)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition exchanges are over per-bucket totals and the cut points
     assert "Window [rank(" not in plan
+    # what meets in one partition is grouped first: bucket totals and the sampled keys
+    lines = plan.splitlines()
+    for at, line in enumerate(lines):
+        if "SinglePartition" in line:
+            assert any("Aggregate" in x for x in lines[at + 1:at + 4]), line
 
 
-def test_string_keys_small_only(spark):
-    df = spark.range(3).selectExpr("cast(id as string) s")
-    assert [r.rank for r in global_rank(df, "s").orderBy("s").collect()] == [1, 2, 3]
-    # the bucketed plan needs numeric or date keys for its cut points
-    with pytest.raises(TypeError):
-        global_rank(df, "s", single_task_rows=0)
-
-
-@pytest.mark.parametrize("single_task_rows", [1_000_000, -1])
-def test_empty_input(spark, single_task_rows):
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("kind", ["string", "boolean", "date", "timestamp", "double"])
+def test_every_orderable_type(parts, kind, descending):
+    number = F.col("l_partkey") % 97
+    key = {"string": F.concat(F.lit("k"), number.cast("string")), "boolean": number % 2 == 0,
+           "date": F.date_add(F.lit("2020-01-01"), number.cast("int")),
+           "timestamp": F.timestamp_seconds(number), "double": number / 7}[kind]
+    df = parts.withColumn("k", F.when(F.col("l_partkey") % 13 != 0, key))
+    _check(df, "k", descending, buckets=9)
+
+
+def test_a_third_of_the_rows_on_one_key_without_broadcast(spark):
+    rows = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string"))).alias("k"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _check(rows, "k", False, buckets=16)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_nan_is_the_largest_number(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (None,), (float("inf"),)], "k double")
+    _check(df, "k", False, buckets=3)
+    _check(df, "k", True, buckets=3)
+
+
+@pytest.mark.parametrize("checkpoint", [True, False])
+def test_empty_input(spark, checkpoint):
     empty = spark.range(10).filter("id > 100").selectExpr("id", "id % 3 as k")
-    assert global_rank(empty, "k", single_task_rows=single_task_rows).count() == 0
+    assert global_rank(empty, "k", checkpoint=checkpoint).count() == 0

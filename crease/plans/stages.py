@@ -17,8 +17,20 @@ from pyspark.sql import DataFrame, SparkSession
 from crease.config import Thresholds
 from crease.operators import gold, reports, silver
 from crease.plans.jobs import run_together
-from crease.schemas import DELIVERIES_SCHEMA, MATCHES_SCHEMA
-from crease.sources.files import ingest, read_table, with_audit, write_table
+from crease.schemas import (
+    DELIVERIES_REQUIRED,
+    DELIVERIES_SCHEMA,
+    MATCHES_REQUIRED,
+    MATCHES_SCHEMA,
+)
+from crease.sources.files import (
+    MALFORMED,
+    ingest,
+    observed_write,
+    read_table,
+    with_audit,
+    write_table,
+)
 
 STAGES = ("bronze", "silver", "gold", "reports")
 
@@ -44,11 +56,16 @@ def _read(spark: SparkSession, layout: Layout, layer: str, table: str) -> DataFr
     return read_table(spark, layout.path(layer, table), layout.table_format)
 
 
+# season-bounded reads of these tables open their seasons' folders only
+PARTITIONS = {("silver", "matches"): ["season"], ("gold", "match_summary"): ["season"]}
+
+
 def _write(df: DataFrame, layout: Layout, layer: str, table: str, audit: str) -> int:
-    return write_table(with_audit(df, audit), layout.path(layer, table), layout.table_format)
+    return write_table(with_audit(df, audit), layout.path(layer, table), layout.table_format,
+                       partition_by=PARTITIONS.get((layer, table)))
 
 
-def _write_all(layout: Layout, jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
+def _write_all(layout: Layout, jobs: dict[str, Callable]) -> dict:
     """Run a stage's independent table writes as concurrent Spark jobs."""
     return run_together(jobs, layout.concurrency)
 
@@ -56,22 +73,28 @@ def _write_all(layout: Layout, jobs: dict[str, Callable[[], int]]) -> dict[str,
 def run_bronze(spark: SparkSession, layout: Layout) -> dict[str, int]:
     if not (layout.matches_source and layout.deliveries_source):
         raise ValueError("bronze needs matches_source and deliveries_source")
-    schemas = {"matches": MATCHES_SCHEMA, "deliveries": DELIVERIES_SCHEMA}
+    schemas = {"matches": (MATCHES_SCHEMA, MATCHES_REQUIRED),
+               "deliveries": (DELIVERIES_SCHEMA, DELIVERIES_REQUIRED)}
     sources = {"matches": layout.matches_source, "deliveries": layout.deliveries_source}
 
-    def load(table: str) -> int:
-        schema = schemas[table] if layout.source_format == "csv" else None
-        raw = ingest(spark, sources[table], schema, layout.source_format)
-        return _write(raw, layout, "bronze", table, "bronze")
+    def load(table: str) -> dict[str, int]:
+        schema, required = schemas[table] if layout.source_format == "csv" else (None, None)
+        raw = ingest(spark, sources[table], schema, layout.source_format, required)
+        return observed_write(with_audit(raw, "bronze"), layout.path("bronze", table),
+                              layout.table_format)
 
-    return _write_all(layout, {table: (lambda table=table: load(table)) for table in sources})
+    done = _write_all(layout, {table: (lambda table=table: load(table)) for table in sources})
+    counts = {table: found["rows"] for table, found in done.items()}
+    return counts | {f"{table}_malformed": found["malformed"] for table, found in done.items()
+                     if "malformed" in found}
 
 
 def run_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
     transforms = {"matches": silver.clean_matches, "deliveries": silver.enrich_deliveries}
     return _write_all(layout, {
         table: (lambda table=table, fn=fn: _write(
-            fn(_read(spark, layout, "bronze", table)), layout, "silver", table, "silver"))
+            fn(_read(spark, layout, "bronze", table).drop(MALFORMED)), layout, "silver", table,
+            "silver"))
         for table, fn in transforms.items()})
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # audit columns each layer's sink appends (never part of the transforms)
 AUDIT_COLUMNS = {
@@ -13,23 +15,73 @@ AUDIT_COLUMNS = {
     "gold": {"gold_created_at": F.current_timestamp},
 }
 
+# holds the raw line of a CSV record whose values do not fit the schema
+MALFORMED = "_corrupt_record"
+# names the folder of a table's current version
+POINTER = "_current"
+
+
+def csv_columns(spark: SparkSession, path: str, **options: str) -> list[str]:
+    """The names in the header of a CSV input (one line is read)."""
+    return spark.read.options(**options).option("header", "true").csv(path).columns
+
+
+def bound_schema(header: list[str], schema: StructType, required: list[str]) -> StructType:
+    """``schema`` in the order of ``header``; columns it does not know are text.
+
+    Raises if a required column is missing."""
+    missing = [c for c in required if c not in header]
+    if missing:
+        raise ValueError(f"missing columns in the input: {', '.join(missing)}")
+    known = {f.name: f for f in schema.fields}
+    return StructType([known.get(c, StructField(c, StringType())) for c in header])
+
+
+def by_name(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` by name; the ones ``df`` lacks are NULL."""
+    extra = [MALFORMED] if MALFORMED in df.columns else []
+    return df.select(*[
+        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schema.fields], *extra)
+
 
 def ingest(spark: SparkSession, path: str, schema: StructType | None = None,
-           fmt: str = "csv", **options: str) -> DataFrame:
-    """Read raw files.  CSV has a header; with ``schema=None`` types are inferred
-    (an extra pass), otherwise the explicit schema is applied in one pass."""
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-        if schema is None:
-            reader = reader.option("inferSchema", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.options(**options).load(path)
+           fmt: str = "csv", required: list[str] | None = None, **options: str) -> DataFrame:
+    """Read raw files.
+
+    CSV has a header and its columns are bound by name: files may order them
+    freely and may lack columns that are not ``required`` (default: the first
+    column of the schema), which are then NULL.  A record with a value that
+    does not fit its column's type keeps its raw line in ``_corrupt_record``.
+    All files of one call share one header.  With ``schema=None`` types are
+    inferred (an extra pass).
+    """
+    reader = spark.read.format(fmt).options(**options)
+    if fmt != "csv":
+        return (reader.schema(schema) if schema is not None else reader).load(path)
+    reader = reader.option("header", "true")
+    if schema is None:
+        return reader.option("inferSchema", "true").load(path)
+    header = csv_columns(spark, path, **options)
+    bound = bound_schema(header, schema, required or [schema.fields[0].name])
+    read = (reader.schema(StructType([*bound.fields, StructField(MALFORMED, StringType())]))
+            .option("columnNameOfCorruptRecord", MALFORMED).load(path))
+    return by_name(read, schema)
+
+
+def table_path(spark: SparkSession, path: str) -> str:
+    """The folder of a table's current version: what its pointer names, else ``path``."""
+    folder = path.rstrip("/")
+    try:
+        return f"{folder}/{spark.read.text(f'{folder}/{POINTER}').first()[0]}"
+    except Exception as error:  # a table that was written in place has no pointer
+        if "PATH_NOT_FOUND" in str(error):
+            return path
+        raise
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    return spark.read.format(fmt).load(table_path(spark, path))
 
 
 def with_audit(df: DataFrame, layer: str) -> DataFrame:
@@ -38,34 +90,31 @@ def with_audit(df: DataFrame, layer: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> int:
-    """Write ``df`` and return its row count, observed during the same job."""
-    obs = Observation()
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
+    """Write ``df`` and return its row count, observed during the same job.
+
+    An overwrite writes a new version beside the current one and only then
+    moves the table's pointer, so readers keep the old version if the write
+    fails; old versions stay until the caller removes them.
+    """
+    return observed_write(df, path, fmt, mode, partition_by)["rows"]
+
+
+def observed_write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
+                   partition_by: list[str] | None = None) -> dict[str, int]:
+    """As ``write_table``; with ``_corrupt_record`` among the columns, also counts
+    the ``malformed`` records in the same job."""
+    spark, folder, obs = df.sparkSession, path.rstrip("/"), Observation()
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if MALFORMED in df.columns:
+        counts.append(F.count(MALFORMED).alias("malformed"))
+    version = f"version-{uuid.uuid4().hex}"
+    target = f"{folder}/{version}" if mode == "overwrite" else table_path(spark, folder)
+    writer = df.observe(obs, *counts).write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    return int(obs.get["rows"])
-
-
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Evenly redistribute a scan that has fewer splits than the cluster has cores
-    (into one partition per core unless ``partitions`` says otherwise).
-
-    Large inputs already arrive as many splits and pass through untouched (the
-    check is planning only, no job).  A small file read as one split would
-    otherwise run every map-side step in a single task.  Rows are spread by
-    their position in the split, not by a data key, so a hot key or a large
-    group of duplicate copies is spread like any other rows and the later
-    aggregations still combine them map-side before their own shuffles.  A
-    split's row order is fixed, so a retried task sends every row to the same
-    place, without the local sort a round-robin repartition would need.
-    """
-    spark = df.sparkSession
-    try:
-        splits = df.rdd.getNumPartitions()
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(partitions or cores, F.monotonically_increasing_id())
+    writer.save(target)
+    if mode == "overwrite":
+        # one small file: the switch to the version that is now complete
+        spark.range(1).select(F.lit(version)).coalesce(1).write.mode("overwrite") \
+            .text(f"{folder}/{POINTER}")
+    return {name: int(n) for name, n in obs.get.items()}

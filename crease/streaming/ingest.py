@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from crease.sources.files import with_audit
+from crease.sources.files import bound_schema, by_name, csv_columns, with_audit
 
 
 def ingest_new_files(spark: SparkSession, source: str, schema: StructType, target: str,
@@ -13,7 +13,9 @@ def ingest_new_files(spark: SparkSession, source: str, schema: StructType, targe
                      checkpoint: str | None = None) -> int:
     """Process every file in ``source`` not yet ingested, then stop.
 
-    A file stream needs the explicit schema.  The stream's progress lives in
+    A file stream needs the explicit schema.  CSV columns are bound by name to the
+    header of the files there are when the run starts; one run takes files of one
+    header.  The stream's progress lives in
     ``checkpoint`` (default: ``<spark.checkpoint.dir>/streams/<name>``, the
     shared folder the session names), so a rerun, in this session or a later
     one, resumes without duplicating rows.  Returns the rows appended by this run.
@@ -25,16 +27,18 @@ def ingest_new_files(spark: SparkSession, source: str, schema: StructType, targe
         if not base:
             raise ValueError("pass checkpoint= or set spark.checkpoint.dir")
         checkpoint = f"{base.rstrip('/')}/streams/{name}"
-    location = checkpoint
-    reader = spark.readStream.format(fmt).schema(schema)
+    reader, bound = spark.readStream.format(fmt), schema
     if fmt == "csv":
-        reader = reader.option("header", "true")
-    query = (with_audit(reader.load(source), "bronze")
-             .writeStream.format(table_format)
-             .option("checkpointLocation", location)
+        bound = bound_schema(csv_columns(spark, source), schema, [schema.fields[0].name])
+        # a file with another order of columns fails instead of being misread
+        reader = reader.option("header", "true").option("enforceSchema", "false")
+    rows = with_audit(by_name(reader.schema(bound).load(source), schema), "bronze")
+    query = (rows.writeStream.format(table_format)
+             .option("checkpointLocation", checkpoint)
              .outputMode("append")
              .trigger(availableNow=True)
              .queryName(f"ingest_{name}")
              .start(target))
     query.awaitTermination()
+    # without a limit per trigger a run is one batch, so no progress is dropped
     return sum(p["numInputRows"] for p in query.recentProgress)

@@ -1,10 +1,17 @@
 """CSV -> bronze -> silver -> gold -> reports on storage, restartable per stage."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from crease.plans import catalog
 from crease.plans.stages import Layout, run_pipeline, run_stage
-from crease.schemas import DELIVERIES_SCHEMA, MATCHES_SCHEMA
+from crease.schemas import (
+    DELIVERIES_REQUIRED,
+    DELIVERIES_SCHEMA,
+    MATCHES_REQUIRED,
+    MATCHES_SCHEMA,
+)
+from crease.sources.files import ingest, read_table, write_table
 from tests.conftest import SF
 
 
@@ -19,25 +26,32 @@ def _rows(df):
 
 
 def test_csv_round_trip(spark, tmp_path):
-    sf = SF["0.001"]
+    sf = SF["0.01"]  # the smallest scale where every report has rows
     _as_raw_csv(catalog.bronze_matches(spark, sf), MATCHES_SCHEMA, str(tmp_path / "raw_m"))
     _as_raw_csv(catalog.bronze_deliveries(spark, sf), DELIVERIES_SCHEMA, str(tmp_path / "raw_d"))
     layout = Layout(str(tmp_path / "lake"), str(tmp_path / "raw_m"), str(tmp_path / "raw_d"))
 
     counts = run_pipeline(spark, layout)
-    assert counts["bronze"] == {"matches": 1575, "deliveries": 6610}
-    assert counts["silver"] == {"matches": 1206, "deliveries": 5901}
+    assert counts["bronze"] == {"matches": 15750, "deliveries": 66058, "matches_malformed": 0,
+                                "deliveries_malformed": 0}
+    assert counts["silver"] == {"matches": 12004, "deliveries": 58165}
     assert counts["gold"]["batsman_stats"] == 80
-    assert counts["gold"]["match_summary"] == 1206
+    assert counts["gold"]["match_summary"] == 12004
+    assert counts["reports"]["q6_all_rounders"] > 0
+
+    def stored(layer, table):
+        return read_table(spark, layout.path(layer, table))
 
-    bronze = spark.read.parquet(layout.path("bronze", "matches"))
-    assert {"ingested_at", "pipeline_date"} <= set(bronze.columns)
-    gold_bat = spark.read.parquet(layout.path("gold", "batsman_stats"))
-    assert "gold_created_at" in gold_bat.columns
+    assert {"ingested_at", "pipeline_date"} <= set(stored("bronze", "matches").columns)
+    assert "processed_at" in stored("silver", "matches").columns
+    assert "gold_created_at" in stored("gold", "batsman_stats").columns
+    season = stored("silver", "matches").select("season").first().season
+    plan = stored("silver", "matches").where(F.col("season") == season)._jdf.queryExecution()
+    assert "PartitionFilters: [isnotnull(season" in plan.toString()
 
     for name in ("q1_top_scorers", "q2_best_economy", "q3_team_form", "q4_toss_rate",
                  "q5_top_venues", "q6_all_rounders", "top_wicket_takers", "team_total_wins"):
-        written = spark.read.parquet(layout.path("reports", name))
+        written = stored("reports", name)
         expected = catalog.QUERIES[name](spark, sf)
         assert _rows(written) == _rows(expected), name
 
@@ -46,13 +60,12 @@ def test_csv_round_trip(spark, tmp_path):
 
 
 def test_ingest_infers_schema_when_none_given(spark, tmp_path):
-    from crease.sources.files import ingest
-
     raw = catalog.bronze_matches(spark, SF["0.001"])
     _as_raw_csv(raw, MATCHES_SCHEMA, str(tmp_path / "m"))
     inferred = ingest(spark, str(tmp_path / "m"))
     types = dict(inferred.dtypes)
     assert types["id"] == "int" and types["season"] == "int" and types["date"] == "date"
+    assert MATCHES_REQUIRED[0] in types
     assert inferred.count() == raw.count()
 
 
@@ -67,4 +80,56 @@ def test_command_line_runs_one_stage(spark, tmp_path, capsys):
     main(["--root", str(tmp_path / "lake"), "--matches", str(tmp_path / "m"),
           "--deliveries", str(tmp_path / "d"), "--only", "bronze"])
     counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert counts == {"bronze": {"matches": 1575, "deliveries": 6610}}
+    assert counts == {"bronze": {"matches": 1575, "deliveries": 6610, "matches_malformed": 0,
+                                 "deliveries_malformed": 0}}
+
+
+def _csv(folder, header, *lines):
+    folder.mkdir()
+    (folder / "part.csv").write_text("\n".join([header, *lines]) + "\n")
+    return str(folder)
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    names = [f.name for f in DELIVERIES_SCHEMA.fields]
+    row = {n: "" for n in names} | {
+        "match_id": "1", "inning": "1", "over": "2", "ball": "3", "batsman": "A", "bowler": "B",
+        "batsman_runs": "4", "extra_runs": "0", "total_runs": "4", "penalty_runs": "0"}
+    shorter = [n for n in names if n != "penalty_runs"]
+    for i, order in enumerate((names, shorter, names[::-1])):
+        path = _csv(tmp_path / f"d{i}", ",".join(order), ",".join(row[n] for n in order))
+        got = ingest(spark, path, DELIVERIES_SCHEMA, required=DELIVERIES_REQUIRED).first()
+        assert (got.batsman, got.bowler) == ("A", "B")
+        assert (got.batsman_runs, got.extra_runs, got.total_runs) == (4, 0, 4)
+        assert got.penalty_runs == (None if order is shorter else 0)
+    path = _csv(tmp_path / "missing", "match_id,inning", "1,1")
+    with pytest.raises(ValueError, match="batsman"):
+        ingest(spark, path, DELIVERIES_SCHEMA, required=DELIVERIES_REQUIRED)
+
+
+def test_raw_text_stays_in_bronze_and_bad_records_are_counted(spark, tmp_path):
+    matches = _csv(tmp_path / "m", "season,id,result,date,toss_decision,toss_winner,winner",
+                   "2007/08,1,normal,2008-04-18,bat,A,A", "2009,x,normal,18/04/2009,bat,A,B")
+    deliveries = _csv(tmp_path / "d", ",".join(DELIVERIES_REQUIRED), "1,1,1,1,A,B,4,4")
+    layout = Layout(str(tmp_path / "lake"), matches, deliveries)
+    counts = run_pipeline(spark, layout, ["bronze", "silver"])
+    assert counts["bronze"] == {"matches": 2, "matches_malformed": 1, "deliveries": 1,
+                                "deliveries_malformed": 0}
+    bronze = {r.season: r.date
+              for r in read_table(spark, layout.path("bronze", "matches")).collect()}
+    assert bronze == {"2007/08": "2008-04-18", "2009": "18/04/2009"}
+    silver = read_table(spark, layout.path("silver", "matches"))
+    assert {r.id: (r.season, r.match_date is None) for r in silver.collect()} == {
+        1: (None, False), None: (2009, True)}
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert write_table(spark.range(5), path) == 5
+    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("no")).cast("long"))
+                                   .otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_table(broken, path)
+    assert read_table(spark, path).count() == 5
+    assert write_table(spark.range(7), path) == 7
+    assert read_table(spark, path).count() == 7

@@ -1,8 +1,10 @@
 """crease: ball-by-ball cricket analytics as composable Spark DataFrame functions.
 
 Layers follow the medallion layout: raw/bronze -> silver (clean, flag, dedup)
--> gold (career leaderboards, team form, match summary) -> reports.  Every
-public function maps DataFrames to a lazy DataFrame; only sinks run actions.
+-> gold (career leaderboards, team form, match summary) -> reports.  Public
+functions map DataFrames to a lazy DataFrame, but for the ranks: ``global_rank``,
+``global_ranks`` and the two leaderboards built on them run checkpoint jobs when
+called.  Other actions are run by sinks alone.
 """
 
 from crease.config import Thresholds

@@ -21,7 +21,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--only", choices=STAGES, help="run a single stage")
     ap.add_argument("--master", help="only to override the master spark-submit provides")
     args = ap.parse_args(argv)
-    builder = SparkSession.builder.appName("crease")
+    builder = (SparkSession.builder.appName("crease")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if args.master:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()

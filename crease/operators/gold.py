@@ -1,9 +1,8 @@
 """Gold layer: career leaderboards, team form and the match summary.
 
 Each builder takes Silver DataFrames and returns a DataFrame.  The two
-leaderboards run one job when called: :func:`crease.operators.ranking.global_ranks`
-checkpoints the career totals, counts them in the same pass, and ranks in one
-task only when that count is small; otherwise it ranks across many tasks.
+leaderboards run jobs when called: :func:`crease.operators.ranking.global_ranks`
+checkpoints the career totals and the counts of their ranked values.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ _DEFAULT = Thresholds()
 
 
 def _career(deliveries: DataFrame, player: str, aggs: dict[str, Column],
-            matches_alias: str, approx_matches: float | None = None) -> DataFrame:
+            matches_alias: str) -> DataFrame:
     """Per-player totals plus the number of distinct matches played.
 
     Aggregates first per (player, match), then per player: the distinct
@@ -27,14 +26,7 @@ def _career(deliveries: DataFrame, player: str, aggs: dict[str, Column],
     levels combine map-side before their shuffles, so the second moves at most
     one row per player and match per task, and a player with a third of all
     balls never lands whole in one task.
-
-    ``approx_matches`` (a relative standard deviation, opt-in) counts matches
-    with a HyperLogLog sketch instead, in a single aggregation and shuffle.
     """
-    if approx_matches is not None:
-        return deliveries.groupBy(player).agg(
-            *[expr.alias(name) for name, expr in aggs.items()],
-            F.approx_count_distinct("match_id", approx_matches).alias(matches_alias))
     per_match = deliveries.groupBy(player, "match_id").agg(
         *[expr.alias(name) for name, expr in aggs.items()])
     return per_match.groupBy(player).agg(
@@ -43,7 +35,7 @@ def _career(deliveries: DataFrame, player: str, aggs: dict[str, Column],
 
 
 def batsman_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_batsman,
-                  approx_matches: float | None = None, **rank_options) -> DataFrame:
+                  **rank_options) -> DataFrame:
     """Career batting per batsman: wides are not balls faced (NULL flags drop too)."""
     stats = (
         _career(deliveries.filter(~F.col("is_wide")), "batsman", {
@@ -54,7 +46,7 @@ def batsman_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches
             "fours": count_true("is_four"),
             "dot_balls": count_true("is_dot_ball"),
             "times_dismissed": count_true("is_wicket_delivery"),
-        }, "matches_played", approx_matches)
+        }, "matches_played")
         .select("batsman", "total_runs", "balls_faced", "boundaries", "sixes", "fours",
                 "dot_balls", "matches_played", "times_dismissed")
         .filter(F.col("matches_played") >= min_matches)
@@ -75,7 +67,7 @@ def batsman_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches
 
 def bowler_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_bowler,
                  min_wickets: int = _DEFAULT.min_wickets_bowler,
-                 approx_matches: float | None = None, **rank_options) -> DataFrame:
+                 **rank_options) -> DataFrame:
     """Career bowling per bowler; every ball and every extra counts against them."""
     stats = (
         _career(deliveries, "bowler", {
@@ -85,7 +77,7 @@ def bowler_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_
             "dot_balls": count_true("is_dot_ball"),
             "wides": count_true("is_wide"),
             "noballs": count_true("is_noball"),
-        }, "matches", approx_matches)
+        }, "matches")
         .select("bowler", "total_wickets", "runs_conceded", "balls_bowled", "dot_balls",
                 "wides", "noballs", "matches")
         .filter((F.col("matches") >= min_matches) & (F.col("total_wickets") >= min_wickets))
@@ -122,6 +114,7 @@ def innings_runs(deliveries: DataFrame) -> DataFrame:
                       .agg(F.sum("total_runs").alias("inning_total_runs")))
 
 
+# Output columns of the match summary.
 SUMMARY_COLUMNS = (
     "id", "season", "match_date", "venue", "city", "team1", "team2", "toss_winner",
     "toss_decision", "winner", "result", "is_playoff", "toss_winner_won",

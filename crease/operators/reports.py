@@ -20,31 +20,35 @@ def _limit(df: DataFrame, limit: int | None) -> DataFrame:
     return df if limit is None else df.limit(limit)
 
 
+def _ranked(board: DataFrame, rank: str, n: int, player: str, columns: list[str],
+            limit: int | None) -> DataFrame:
+    """Players ranked ``<= n``; ties are ordered by name."""
+    return _limit(board.filter(F.col(rank) <= n).select(rank, player, *columns)
+                  .orderBy(rank, player), limit)
+
+
+# The columns each report shows.
+SCORER_COLUMNS = ["total_runs", "strike_rate", "batting_average", "performance_tier"]
+ECONOMY_COLUMNS = ["total_wickets", "economy_rate", "bowling_average", "dot_ball_pct"]
+WICKET_COLUMNS = ["total_wickets", "economy_rate", "dot_ball_pct"]
+
+
 def top_scorers(batsman: DataFrame, n: int = _DEFAULT.top_n,
                 limit: int | None = None) -> DataFrame:
     """Q1: batsmen ranked ``<= n`` by career runs."""
-    return _limit(batsman.filter(F.col("overall_rank") <= n)
-                  .select("overall_rank", "batsman", "total_runs", "strike_rate",
-                          "batting_average", "performance_tier")
-                  .orderBy("overall_rank"), limit)
+    return _ranked(batsman, "overall_rank", n, "batsman", SCORER_COLUMNS, limit)
 
 
 def best_economy(bowler: DataFrame, n: int = _DEFAULT.top_n,
                  limit: int | None = None) -> DataFrame:
     """Q2: bowlers ranked ``<= n`` by (rounded) economy rate."""
-    return _limit(bowler.filter(F.col("economy_rank") <= n)
-                  .select("economy_rank", "bowler", "total_wickets", "economy_rate",
-                          "bowling_average", "dot_ball_pct")
-                  .orderBy("economy_rank"), limit)
+    return _ranked(bowler, "economy_rank", n, "bowler", ECONOMY_COLUMNS, limit)
 
 
 def top_wicket_takers(bowler: DataFrame, n: int = _DEFAULT.top_n,
                       limit: int | None = None) -> DataFrame:
     """Gold report: bowlers ranked ``<= n`` by wickets."""
-    return _limit(bowler.filter(F.col("wickets_rank") <= n)
-                  .select("wickets_rank", "bowler", "total_wickets", "economy_rate",
-                          "dot_ball_pct")
-                  .orderBy("wickets_rank"), limit)
+    return _ranked(bowler, "wickets_rank", n, "bowler", WICKET_COLUMNS, limit)
 
 
 def recent_team_form(team: DataFrame, seasons: int = _DEFAULT.recent_seasons,
@@ -60,7 +64,7 @@ def recent_team_form(team: DataFrame, seasons: int = _DEFAULT.recent_seasons,
         start = F.lit(since)
     out = (team.filter(F.col("season") >= start)
                .select("season", "winner", "wins", "rolling_3season_wins", "season_rank")
-               .orderBy("season", "season_rank"))
+               .orderBy("season", "season_rank", "winner"))
     return _limit(out, limit)
 
 
@@ -100,10 +104,10 @@ def all_rounders(batsman: DataFrame, bowler: DataFrame,
                   .select(bat["batsman"].alias("player"), bat["total_runs"],
                           bat["batting_average"], bat["strike_rate"],
                           bowl["total_wickets"], bowl["economy_rate"])
-                  .orderBy(F.desc("total_runs")), limit)
+                  .orderBy(F.desc("total_runs"), "player"), limit)
 
 
 def team_total_wins(team: DataFrame, limit: int | None = None) -> DataFrame:
     """Gold report: wins per team over all seasons."""
     return _limit(team.groupBy("winner").agg(F.sum("wins").alias("total_wins"))
-                  .orderBy(F.desc("total_wins")), limit)
+                  .orderBy(F.desc("total_wins"), "winner"), limit)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from crease.operators import gold, silver
+from crease.operators import gold, reports, silver
 from crease.plans import catalog
 from crease.sources.adapters import deliveries_from_lineitem
 from tests.conftest import SF
@@ -34,33 +34,15 @@ def test_summary_keeps_every_silver_match(spark):
     assert catalog.match_summary(spark, sf).count() == catalog.silver_matches(spark, sf).count()
 
 
-def test_approximate_match_count_is_opt_in_and_close(spark):
-    d = catalog.silver_deliveries(spark, SF["0.01"])
-    exact = {r.batsman: r.matches_played for r in gold.batsman_stats(d, min_matches=0).collect()}
-    approx = {r.batsman: r.matches_played
-              for r in gold.batsman_stats(d, min_matches=0, approx_matches=0.02).collect()}
-    assert exact.keys() == approx.keys()
-    assert all(abs(approx[k] - exact[k]) <= 0.08 * exact[k] for k in exact)
-    # without the rank checkpoint the plan still shows the aggregation below it
-    plan = gold.bowler_stats(d, approx_matches=0.02, checkpoint=False)._jdf.queryExecution().toString()
-    assert "approx_count_distinct" in plan or "HyperLogLogPlusPlus" in plan
-
-
-def test_leaderboard_with_a_player_holding_a_third_of_all_balls(spark):
-    from pyspark.sql import Window
-
-    d = catalog.silver_deliveries(spark, SF["0.01"])
-    hot = d.withColumn("batsman", F.when(F.col("match_id") % 3 == 0, F.lit("HOT"))
-                       .otherwise(F.col("batsman")))
-    got = gold.batsman_stats(hot, min_matches=0)
-    # the same numbers written the plain way
-    s = (hot.filter(~F.col("is_wide")).groupBy("batsman")
-         .agg(F.sum("batsman_runs").alias("total_runs"), F.count("ball").alias("balls_faced"),
-              F.count_distinct("match_id").alias("matches_played"),
-              F.sum(F.col("is_wicket_delivery").cast("int")).alias("times_dismissed")))
-    want = s.withColumn("overall_rank", F.rank().over(Window.orderBy(F.desc("total_runs"))))
-    cols = ["batsman", "total_runs", "balls_faced", "matches_played", "times_dismissed",
-            "overall_rank"]
-    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
-    share = hot.filter(F.col("batsman") == "HOT").count() / hot.count()
-    assert share > 0.3
+def test_tied_reports_cut_the_same_rows_under_any_partitioning(spark):
+    rows = [(1, f"p{i:02d}", 10, 1.0, 2.0, "x") for i in range(20)]
+    names = "overall_rank int, batsman string, total_runs int, strike_rate double, " \
+            "batting_average double, performance_tier string"
+    boards = [spark.createDataFrame(order, names).repartition(n)
+              for n, order in ((1, rows), (5, rows[::-1]), (7, rows))]
+    cut = [[r.batsman for r in reports.top_scorers(b, limit=4).collect()] for b in boards]
+    assert cut == [["p00", "p01", "p02", "p03"]] * 3
+    wins = spark.createDataFrame([(t, 3) for t in "dbca"], "winner string, wins int")
+    for n in (1, 4):
+        assert [r.winner for r in reports.team_total_wins(wins.repartition(n), limit=2).collect()] \
+            == ["a", "b"]

@@ -2,7 +2,7 @@
 
 Swaps in what a straightforward DataFrame job would do: ``dropDuplicates``
 (arbitrary survivor), ``rank()`` over a window without partitioning, one-level
-``count(DISTINCT)`` career totals, and scans used as they come (no spread).
+``count(DISTINCT)`` career totals.
 Timing is ``bench.time_queries`` (same warm-up and best-of-N).  Run from the
 repo root: ``python tools/bench_plain_plan.py``; prints one JSON line.
 """
@@ -35,14 +35,13 @@ def _window_rank(df, key, descending=False, name="rank", **_):
     return _window_ranks(df, [(key, descending, name)])
 
 
-def _flat_career(deliveries, player, aggs, matches_alias, approx=None):
+def _flat_career(deliveries, player, aggs, matches_alias):
     return deliveries.groupBy(player).agg(
         *[expr.alias(n) for n, expr in aggs.items()],
         F.count_distinct("match_id").alias(matches_alias))
 
 
 def main() -> None:
-    catalog.spread = lambda df, *a, **k: df
     catalog.global_rank = _window_rank
     silver.dedup_keep_first = lambda df, keys: df.dropDuplicates(list(keys))
     gold.global_rank, gold.global_ranks = _window_rank, _window_ranks

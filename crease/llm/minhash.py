@@ -7,13 +7,14 @@ rows`` coordinates.  Documents that agree on all rows of a band share a bucket.
 
 Links are confirmed on the full shingle sets.  Inside a bucket not all pairs
 are made.  Texts that are the same are one node.  Round 1 checks each node
-against the smallest node of the bucket it shares most often; round 2 checks
-the components of a bucket against each other through one member each; round 3
-checks whatever is left of a bucket that still has several components, every
-pair across components whose set sizes allow a link.  Pairs inside a component
-cannot change the result.  So each bucket pair ends up in one component or is
-checked, and a group of thousands of copies costs links in proportion to its
-size.
+against the smallest node (the representative) of the bucket it shares most
+often; round 2 checks the components of a bucket against each other through
+one member each; round 3 checks all members of a bucket that still has several
+components against its representative; round 4 checks the pairs across these
+components that the intersections with the representative do not rule out.
+Pairs inside a component cannot change the result.  So each bucket pair ends
+up in one component, is ruled out by an exact bound, or is checked, and a group
+of thousands of copies costs links in proportion to its size.
 
 A pair at similarity 0.75 shares none of 32 bands of 4 rows with probability
 5e-6 (less above); that is the only way a link can be missed.
@@ -79,7 +80,8 @@ def _node(text) -> F.Column:
 
 
 def _confirmed(edges: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The rows of ``edges(a, b)`` that are links by their full sets."""
+    """``edges(a, b)`` with the size of the intersection of the full sets, ``both``,
+    and whether the pair is a link."""
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets: dict[bytes, np.ndarray] = {}
@@ -89,17 +91,20 @@ def _confirmed(edges: DataFrame, texts: DataFrame, words: int, percent: int) ->
             found = _lowered_shingles(batch.column(f"{side}_text").take(pa.array(new, pa.int64())),
                                       words)
             sets.update(zip((nodes[i] for i in new), found, strict=True))
-        keep = []
+        shared, link = [], []
         for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
             x, y = sets[a], sets[b]
             both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= percent * (len(x) + len(y) - both))
-        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            shared.append(both)
+            link.append(100 * both >= percent * (len(x) + len(y) - both))
+        return pa.record_batch({"a": batch.column("a"), "b": batch.column("b"),
+                                "both": pa.array(shared, pa.int64()),
+                                "link": pa.array(link, pa.bool_())})
 
     pairs = (edges.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
              .join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b"))
     return saved(map_rows(pairs.select("a", "b", "a_text", "b_text"), check,
-                          "a binary, b binary"), "links")
+                          "a binary, b binary, both bigint, link boolean"), "checked")
 
 
 def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
@@ -107,6 +112,15 @@ def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce("component", "node")))
 
 
+def _open(members: DataFrame, label: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with theirs."""
+    labelled = saved(_labelled(members, label), "labelled")
+    several = saved(labelled.groupBy("bucket").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo <> hi").select("bucket"), "several")
+    return saved(labelled.join(several, "bucket"), "open")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     words: int = 5, percent: int = 75, bands: int = 32,
                     rows: int = 4) -> DataFrame:
@@ -147,17 +161,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .where("n > 1").drop("n"), "buckets")
     members = saved(spread.join(shared, "bucket"), "members")
     involved = saved(members.select("node").distinct(), "involved")
-    texts = saved(source.join(involved, "node", "left_semi").select("node", "text"), "texts")
+    # the same kind of join at every size, so that small runs tell of large ones
+    texts = saved(source.join(involved.hint("merge"), "node", "left_semi")
+                  .select("node", "text"), "texts")
     texts = saved(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
     # round 1: each node with the representative it meets in most buckets
     best = (members.where("node <> rep").groupBy("node", "rep").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("node").agg(F.max(F.struct("n", "rep")).alias("best")))
-    tried = saved(best.select(F.col("node").alias("a"), F.col("best.rep").alias("b")), "tried")
-    links = _confirmed(tried, texts, words, percent)
+    checked = _confirmed(saved(best.select(F.col("node").alias("a"), F.col("best.rep").alias("b")),
+                               "best"), texts, words, percent)
 
     # round 2: components of a bucket through one member each
-    label = components(links)
+    label = components(checked.where("link"))
     reps = saved(_labelled(members, label).groupBy("bucket", "component")
                  .agg(F.min("node").alias("node")), "reps")
     least = saved(reps.groupBy("bucket").agg(F.min("node").alias("low"),
@@ -165,26 +181,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .where("n > 1").drop("n"), "least")
     more = (reps.join(least, "bucket").where("node <> low")
             .select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
-            .join(tried, ["a", "b"], "left_anti"))
-    more = saved(more, "more")
-    links = links.unionByName(_confirmed(more, texts, words, percent))
-    tried = tried.unionByName(more)
-
-    # round 3: what is left across components
-    label = components(links)
-    labelled = saved(_labelled(members.drop("rep"), label), "labelled")
-    open_buckets = saved(labelled.groupBy("bucket").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo <> hi").select("bucket"), "open")
-    rest = saved(labelled.join(open_buckets, "bucket"), "rest")
-    one, two = rest.alias("x"), rest.alias("y")
-    cross = (one.join(two, F.col("x.bucket") == F.col("y.bucket"))
-             .where("x.component < y.component")
-             .where(f"100 * least(x.size, y.size) >= {percent} * greatest(x.size, y.size)")
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    seen = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    cross = saved(cross.join(seen, ["a", "b"], "left_anti"), "cross")
-    links = links.unionByName(_confirmed(cross, texts, words, percent))
+            .join(checked, ["a", "b"], "left_anti"))
+    checked = checked.unionByName(_confirmed(saved(more, "more"), texts, words, percent))
+
+    # round 3: all members of buckets that are still open against the representative
+    open_rows = _open(members, components(checked.where("link")))
+    more = (open_rows.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+            .distinct().join(checked, ["a", "b"], "left_anti"))
+    checked = checked.unionByName(_confirmed(saved(more, "rest"), texts, words, percent))
+
+    # round 4: pairs across components.  What two sets share is bounded by what each
+    # shares with the representative and by what each has besides
+    open_rows = _open(members, components(checked.where("link")))
+    known = checked.select(F.col("a").alias("node"), F.col("b").alias("rep"), "both") \
+        .groupBy("node", "rep").agg(F.max("both").alias("both"))
+    near = saved(open_rows.join(saved(known, "known"), ["node", "rep"], "left").withColumn(
+        "both", F.when(F.col("node") == F.col("rep"), F.col("size")).otherwise(F.col("both"))),
+        "near")
+    most = ("(least(x.both, y.both) + least(x.size - x.both, y.size - y.both))")
+    cross = (near.alias("x").join(near.alias("y"), F.expr(
+        "x.bucket = y.bucket AND x.component < y.component"
+        f" AND 100 * {most} >= {percent} * (x.size + y.size - {most})"))
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    seen = checked.select("a", "b").unionByName(
+        checked.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    cross = saved(saved(cross, "pairs").join(seen, ["a", "b"], "left_anti"), "cross")
+    links = checked.unionByName(_confirmed(cross, texts, words, percent)).where("link")
 
     label = components(links)
     owner = _labelled(nodes.select("node", "first"), label)

@@ -32,7 +32,7 @@ from crease.llm._text import groups, utf8
 from crease.llm.pretokens import Memory, encode_plain, spread
 
 #: distinct chunks remembered by a task before the memory starts anew
-REMEMBERED = 200_000
+REMEMBERED = 20_000
 
 
 def byte_symbols() -> list[str]:

@@ -47,7 +47,7 @@ def test_near_duplicates_equal_brute_force(corpus):
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept)
            for r in minhash.near_duplicates(docs).collect()}
     assert got == linked_groups(texts)
-    assert sum(not kept for _, _, kept in got.values()) >= 8
+    assert sum(not kept for _, _, kept in got.values()) >= 6
 
 
 def test_chain_of_near_copies_is_one_group(spark):

@@ -58,11 +58,11 @@ s AS (
         FROM d WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 pairs AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both
   FROM s x JOIN s y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY 1, 2),
 links AS (
   SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-  WHERE 100 * both >= 75 * (x.n + y.n - both)),
+  WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)),
 sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (
   SELECT a AS doc_id, a AS other FROM sym
@@ -158,11 +158,11 @@ g AS (
 r AS (SELECT doc_id, count(DISTINCT q) AS n_repeat
       FROM (SELECT doc_id, unnest(range(p, p + 5)) AS q FROM g WHERE n > 1) GROUP BY 1),
 lines AS (
-  SELECT doc_id, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{_SPACED}')) AS ls
+  SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_SPACED}')) AS ls
   FROM d),
 m AS (
   SELECT d.doc_id, source, CAST(len(ws) AS BIGINT) AS n_words,
-         CAST(coalesce(list_sum(list_transform(ws, x -> length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words
@@ -189,8 +189,8 @@ def _rule_sql(rank: int, kind: str, pattern: str, group: int, least: int) -> str
     pattern = pattern.replace("}+", "}").replace("'", "''")
     return rf"""
   SELECT doc_id, {rank} AS rank, '{kind}' AS kind,
-         list_sum(list_transform(gaps[1:i], x -> length(x)))
-           + coalesce(list_sum(list_transform(found[1:i - 1], x -> length(x))), 0) AS start,
+         list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+           + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS start,
          length(found[i]) AS size
   FROM (SELECT doc_id, unnest(range(1, len(found) + 1)) AS i, gaps, found, measured
         FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS gaps,

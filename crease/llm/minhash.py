@@ -7,12 +7,14 @@ rows`` coordinates.  Documents that agree on all rows of a band share a bucket.
 
 Links are confirmed on the full shingle sets.  Inside a bucket not all pairs
 are made.  Texts that are the same are one node.  Round 1 checks each node
-against the smallest node (the representative) of the bucket it shares most
-often; round 2 checks the components of a bucket against each other through
-one member each; round 3 checks all members of a bucket that still has several
-components against its representative; round 4 checks the pairs across these
-components that the intersections with the representative do not rule out.
-Pairs inside a component cannot change the result.  So each bucket pair ends
+against the representative of the bucket it shares most often: of a bucket's
+members, the one that meets the most others in all its buckets, so the one
+nearest to the middle of a group of edited copies; round 2 checks all members of a bucket that still has several
+components against its representative; round 3 checks the pairs across these
+components that can be links after that: what both share with the
+representative is enough, or they share shingles that it has not, found by a
+join on the rarest of these (a prefix filter, exact).  Pairs inside a component
+cannot change the result.  So each bucket pair ends
 up in one component, is ruled out by an exact bound, or is checked, and a group
 of thousands of copies costs links in proportion to its size.
 
@@ -26,7 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crease.llm import _text
@@ -73,15 +75,13 @@ def _lowered_shingles(column: pa.Array, words: int) -> list[np.ndarray]:
 
 
 def _node(text) -> F.Column:
-    """128 bits of the lower-cased words of a text."""
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    plain = F.regexp_replace(F.translate(text, upper, lower), r"[\x20\x09-\x0D]+", " ")
-    return F.unhex(F.substring(F.sha2(F.trim(plain), 256), 1, 32))
+    """128 bits of the text."""
+    return F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32))
 
 
 def _confirmed(edges: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """``edges(a, b)`` with the size of the intersection of the full sets, ``both``,
-    and whether the pair is a link."""
+    whether the pair is a link, and the shingles of ``a`` that ``b`` has not, ``rest``."""
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets: dict[bytes, np.ndarray] = {}
@@ -91,20 +91,57 @@ def _confirmed(edges: DataFrame, texts: DataFrame, words: int, percent: int) ->
             found = _lowered_shingles(batch.column(f"{side}_text").take(pa.array(new, pa.int64())),
                                       words)
             sets.update(zip((nodes[i] for i in new), found, strict=True))
-        shared, link = [], []
+        shared, link, rest = [], [], []
         for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
             x, y = sets[a], sets[b]
-            both = len(np.intersect1d(x, y, assume_unique=True))
+            rest.append(np.setdiff1d(x, y, assume_unique=True).view(np.int64))
+            both = len(x) - len(rest[-1])
             shared.append(both)
             link.append(100 * both >= percent * (len(x) + len(y) - both))
         return pa.record_batch({"a": batch.column("a"), "b": batch.column("b"),
                                 "both": pa.array(shared, pa.int64()),
-                                "link": pa.array(link, pa.bool_())})
+                                "link": pa.array(link, pa.bool_()),
+                                "rest": pa.array(rest, pa.list_(pa.int64()))})
 
     pairs = (edges.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
              .join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b"))
     return saved(map_rows(pairs.select("a", "b", "a_text", "b_text"), check,
-                          "a binary, b binary, both bigint, link boolean"), "checked")
+                          "a binary, b binary, both bigint, link boolean, rest array<bigint>"), "checked")
+
+
+def _may_link(both: str, percent: int) -> F.Column:
+    """Whether sets of ``x.size`` and ``y.size`` that share ``both`` are a link."""
+    return F.expr(f"100 * ({both}) >= {percent} * (x.size + y.size - ({both}))")
+
+
+def _by_rest(near: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)`` across components of those that share shingles their representative has
+    not, enough of them to be a link.
+
+    A partner of a set shares ``percent`` of it, so ``need`` shingles at least
+    besides the representative's; of these one is among all but the ``need - 1``
+    most frequent ones, on both sides.
+    """
+    each = near.withColumn("need", F.greatest(F.lit(1).cast("bigint"), F.floor(
+        (F.lit(percent) * F.col("size") + 99) / 100) - F.col("both")))
+    each = each.withColumn("shingle", F.explode("rest")).drop("rest")
+    often = saved(each.groupBy("rep", "shingle").agg(F.count(F.lit(1)).alias("n"))
+                  .where("n > 1"), "often")
+    own = Window.partitionBy("node", "rep")
+    rare = each.join(often, ["rep", "shingle"]) \
+        .withColumn("at", F.row_number().over(own.orderBy("n", "shingle"))) \
+        .withColumn("all", F.count(F.lit(1)).over(own)) \
+        .where("at <= all - need + 1").drop("at", "all", "n")
+    rare = saved(rare, "rare")
+    met = rare.alias("x").join(rare.alias("y"), F.expr(
+        "x.rep = y.rep AND x.shingle = y.shingle AND x.component < y.component"))
+    met = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
+                      F.col("x.rep").alias("rep")).agg(
+        F.count(F.lit(1)).alias("met"), F.struct(F.first("x.size").alias("size")).alias("x"),
+        F.struct(F.first("y.size").alias("size")).alias("y"),
+        F.first(F.least("x.both", "y.both")).alias("both"),
+        F.first(F.greatest("x.need", "y.need") - 1).alias("frequent"))
+    return met.where(_may_link("both + met + frequent", percent)).select("a", "b")
 
 
 def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
@@ -125,7 +162,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     words: int = 5, percent: int = 75, bands: int = 32,
                     rows: int = 4) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept, node)``, one row per input row;
-    ``node`` names the text by its lower-cased words.
+    ``node`` names the text.
 
     ``component_id`` is the smallest id reachable over links, ``kept`` marks
     the document that carries it.  A NULL text has no words; a document
@@ -156,11 +193,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("doc").alias("first"), F.first("size").alias("size"),
         F.first("keys").alias("keys")), "nodes")
     spread = nodes.select("node", "size", F.explode("keys").alias("bucket"))
-    shared = saved(spread.groupBy("bucket").agg(F.min("node").alias("rep"),
-                                                F.count(F.lit(1)).alias("n"))
-                   .where("n > 1").drop("n"), "buckets")
+    shared = saved(spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+                   "buckets")
     members = saved(spread.join(shared, "bucket"), "members")
-    involved = saved(members.select("node").distinct(), "involved")
+    involved = saved(members.groupBy("node").agg(F.sum("n").alias("company")), "involved")
+    reps = saved(members.select("node", "bucket").join(involved, "node").groupBy("bucket")
+                 .agg(F.max(F.struct("company", "node")).alias("rep"))
+                 .select("bucket", F.col("rep.node").alias("rep")), "reps")
+    members = saved(members.drop("n").join(reps, "bucket"), "members")
+    involved = involved.select("node")
     # the same kind of join at every size, so that small runs tell of large ones
     texts = saved(source.join(involved.hint("merge"), "node", "left_semi")
                   .select("node", "text"), "texts")
@@ -172,47 +213,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     checked = _confirmed(saved(best.select(F.col("node").alias("a"), F.col("best.rep").alias("b")),
                                "best"), texts, words, percent)
 
-    # round 2: components of a bucket through one member each
-    label = components(checked.where("link"))
-    reps = saved(_labelled(members, label).groupBy("bucket", "component")
-                 .agg(F.min("node").alias("node")), "reps")
-    least = saved(reps.groupBy("bucket").agg(F.min("node").alias("low"),
-                                             F.count(F.lit(1)).alias("n"))
-                  .where("n > 1").drop("n"), "least")
-    more = (reps.join(least, "bucket").where("node <> low")
-            .select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
-            .join(checked, ["a", "b"], "left_anti"))
-    checked = checked.unionByName(_confirmed(saved(more, "more"), texts, words, percent))
-
-    # round 3: all members of buckets that are still open against the representative
+    # round 2: all members of buckets that are still open against the representative
     open_rows = _open(members, components(checked.where("link")))
     more = (open_rows.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
             .distinct().join(checked, ["a", "b"], "left_anti"))
     checked = checked.unionByName(_confirmed(saved(more, "rest"), texts, words, percent))
 
-    # round 4: pairs across components.  What two sets share is bounded by what each
-    # shares with the representative and by what each has besides
-    open_rows = _open(members, components(checked.where("link")))
-    known = checked.select(F.col("a").alias("node"), F.col("b").alias("rep"), "both") \
-        .groupBy("node", "rep").agg(F.max("both").alias("both"))
-    near = saved(open_rows.join(saved(known, "known"), ["node", "rep"], "left").withColumn(
-        "both", F.when(F.col("node") == F.col("rep"), F.col("size")).otherwise(F.col("both"))),
-        "near")
-    most = ("(least(x.both, y.both) + least(x.size - x.both, y.size - y.both))")
-    cross = (near.alias("x").join(near.alias("y"), F.expr(
-        "x.bucket = y.bucket AND x.component < y.component"
-        f" AND 100 * {most} >= {percent} * (x.size + y.size - {most})"))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    # round 3: pairs across components
+    open_rows = _open(open_rows.drop("component"), components(checked.where("link")))
+    known = checked.select(F.col("a").alias("node"), F.col("b").alias("rep"), "both", "rest")
+    near = saved(open_rows.join(known, ["node", "rep"]), "near")
+    inside = near.drop("rest")
+    inside = inside.alias("x").join(inside.alias("y"), F.expr(
+        "x.bucket = y.bucket AND x.component < y.component")
+        & _may_link("least(x.both, y.both)", percent)) \
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    near = saved(near.select("node", "rep", "component", "size", "both", "rest")
+                 .dropDuplicates(["node", "rep"]), "near")
+    cross = inside.unionByName(_by_rest(near, percent)).distinct()
     seen = checked.select("a", "b").unionByName(
         checked.select(F.col("b").alias("a"), F.col("a").alias("b")))
     cross = saved(saved(cross, "pairs").join(seen, ["a", "b"], "left_anti"), "cross")
     links = checked.unionByName(_confirmed(cross, texts, words, percent)).where("link")
 
     label = components(links)
-    owner = _labelled(nodes.select("node", "first"), label)
+    owner = saved(_labelled(nodes.select("node", "first"), label), "owner")
     lowest = saved(owner.groupBy("component").agg(F.min("first").alias("component_id")), "lowest")
-    of_node = saved(saved(owner, "owner").join(lowest, "component")
-                    .select("node", "component_id"), "of_node")
+    of_node = saved(owner.join(lowest, "component").select("node", "component_id"), "of_node")
     out = base.select("doc", "node", "size").join(of_node, "node", "left")
     component = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc"))
     return out.select(
@@ -224,7 +251,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 **options) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with the same columns; of
-    rows that repeat an id and its words, one stays."""
+    rows that repeat an id and its text, one stays."""
     kept = near_duplicates(docs, id_col, text_col, **options).where("kept") \
         .select(F.col("doc_id").alias("doc"), "node").distinct()
     kept = saved(kept, "kept")

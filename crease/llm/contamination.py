@@ -170,11 +170,11 @@ def _blocks(items: DataFrame, item_col: str, text_col: str, block_bytes: int
             ) -> Iterator[list[tuple[str, bytes]]]:
     """The items in blocks of about ``block_bytes``, one on the driver at a time."""
     rows = items.select(F.col(item_col).cast("string").alias("item"),
-                        whole_text(text_col).alias("text")).where("item IS NOT NULL")
+                        whole_text(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = total // block_bytes + 1
     for at in range(n):
-        block = rows.where(F.pmod(F.xxhash64("item"), F.lit(n)) == at).distinct()
+        block = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == at).distinct()
         yield [(r.item, r.text.encode()) for r in block.collect()]
 
 
@@ -187,8 +187,9 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, *, text_col: str = "tex
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.
     A match is at least ``window`` words long, or the whole of an item that has
-    fewer words.  NULL or empty texts have no words and no matches; items with
-    a NULL id or without words match nothing; items that repeat an id add up.
+    fewer words.  NULL or empty texts have no words and no matches; items
+    without words match nothing; items that repeat an id add up, and items with
+    a NULL id are searched as all others (``item`` is then NULL).
     Rows are handled one by one, so repeated rows and ids get equal results.
     Empty tables (documents or benchmark) give no matches.
     """
@@ -218,7 +219,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, *, text_col: str = "tex
 
 
 def verdict(found: DataFrame, percent: int = 5) -> DataFrame:
-    """Adds ``n_hit``, ``items`` (sorted distinct item ids as strings) and
+    """Adds ``n_hit``, ``items`` (sorted distinct item ids as strings, no NULL) and
     ``contaminated`` (``100 * n_hit >= percent * n_words``, at least one hit)."""
 
     def judge(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -229,7 +230,7 @@ def verdict(found: DataFrame, percent: int = 5) -> DataFrame:
                 hit += max(0, b - max(a, end))
                 end = max(end, b)
             hits.append(hit)
-            items.append(sorted({m["item"] for m in matches}))
+            items.append(sorted({m["item"] for m in matches} - {None}))
         names = [*batch.schema.names, "n_hit", "items"]
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(hits, pa.int64()), pa.array(items, pa.list_(pa.string()))],

@@ -33,8 +33,10 @@ def _sha(column: Column) -> Column:
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.verdict(contamination.benchmark_matches(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    # items without an id count as one, as in the SQL
+    nameless = F.exists("matches", lambda m: m["item"].isNull()).cast("bigint")
     return found.select(
-        "row.doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        "row.doc_id", "n_words", "n_hit", (F.size("items") + nameless).alias("n_items"),
         _sha(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
 
 

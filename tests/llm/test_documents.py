@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -14,7 +15,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from crease.llm import bpe, contamination, language, quality, secrets, token_files
-from crease.llm.queries import TOKENIZER
+from crease.llm.oracle import ORACLE_SQL
+from crease.llm.queries import TOKENIZER, op1_decontamination
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 PATH = public_tokenizers.path(TOKENIZER)
@@ -65,6 +67,28 @@ def test_benchmark_hits_equal_brute_force(spark, corpus):
     assert sum(r.contaminated for r in got) > 3
 
 
+def test_items_without_an_id_count_as_in_the_sql(spark, tmp_path):
+    passage = " ".join(f"p{i}" for i in range(20))
+    docs = [(1, f"x {passage} y"), (2, "nothing here"), (3, passage + " two words"), (4, None)]
+    items = [(None, passage), (None, "two words"), (7, "two words"), (8, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM "
+                    f"read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    expected = con.execute(ORACLE_SQL["op1_decontamination"])
+    columns = [c[0] for c in expected.description]
+    got = op1_decontamination(spark, str(tmp_path))
+    assert got.columns == columns
+    rows = {r.doc_id: tuple(r) for r in got.collect()}
+    assert rows == {r[0]: r for r in expected.fetchall()}
+    assert [rows[i][2] for i in (1, 2, 3, 4)] == [20, 0, 22, 0]
+    assert dict(got.dtypes)["n_items"] == "bigint"
+
+
 def test_longest_match_is_one_span(spark):
     words = [f"t{i}" for i in range(60)]
     docs = spark.createDataFrame([(1, "x y " + " ".join(words[10:50]) + " z")],

@@ -1,10 +1,13 @@
 """Substring dedup over bytes by a run-length compressed index per shard.
 
 The Burrows-Wheeler transform of a shard is kept as its runs only: the symbol
-and first row of each run, per symbol the list of its runs with the number of
-that symbol before each, and the text positions of the suffixes at the run
-ends.  In a repetitive shard there are far fewer runs than bytes.  Ranks are
-found by binary search among the runs of the symbol.  Pieces are streamed from
+and first row of each run, and per symbol the list of its runs with the number
+of that symbol before each.  In a repetitive shard there are far fewer runs
+than bytes.  Ranks are found by binary search among the runs of the symbol.
+Positions are not sampled at the run ends: the earliest place of a window comes
+from the order of the windows in the shard, and the interval of a row is held
+for each row (``Intervals``), so that part takes the space of the rows, not of
+the runs.  Pieces are streamed from
 their ends, one byte at a time and all pieces of a shard together, as in the
 index over words (``fm_index``).
 """
@@ -21,19 +24,17 @@ from crease.llm.suffixes import Suffixes
 
 
 class RunIndex:
-    """Backward steps in the space of the runs of the transform."""
+    """Backward steps in the space of the runs of the transform; the intervals
+    take the space of its rows."""
 
     def __init__(self, values: np.ndarray, depth: int):
         suffixes = Suffixes(values, boundary=depth)
-        order = suffixes.order
         self.intervals = Intervals(suffixes.begins)
         self.n = n = len(values)
-        bwt = values[order - 1]
+        bwt = values[suffixes.order - 1]
         head = np.flatnonzero(np.concatenate([[True], bwt[1:] != bwt[:-1]]))
         size = np.diff(np.append(head, n))
         symbol = bwt[head]
-        #: text position of the suffix at the last row of each run
-        self.sample = order[head + size - 1]
         self.before = np.concatenate([[0], np.cumsum(np.bincount(values))])
         # runs by symbol, then by row: one sorted key serves all binary searches
         by = np.lexsort((head, symbol))

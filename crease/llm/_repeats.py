@@ -16,7 +16,8 @@ one *piece*.  The steps, each a stored table:
    windows are dealt one by one by their own hash instead and settled as
    in step 2.
 
-Rows are ordered by id, then by a checksum of the text, then by start.
+Rows are told apart and ordered by id, then by a 64-bit hash of the text, then by
+start.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ PASS = 1 << 20
 _POSITION = _U((1 << 22) - 1)
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
 
-PIECE = "h bigint, dig bigint, doc bigint, at bigint"
+PIECE = "h bigint, dig bigint, doc bigint, th bigint, at bigint"
 
 
 class Sequence:
@@ -157,9 +158,9 @@ class SpacedWords(Symbols):
         return [b" ".join(words[a:b]) for a, b in spans]
 
 
-def _place(th: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Text checksum, start and number of windows in one sortable integer."""
-    return (th << 40) | (start << 8) | n
+def _place(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Start and number of windows in one sortable integer."""
+    return (start << 8) | n
 
 
 def _located(batch: pa.RecordBatch, symbols: Symbols):
@@ -178,8 +179,8 @@ def _pieces(source: DataFrame, symbols: Symbols) -> DataFrame:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
             th = batch.column("th").to_numpy(zero_copy_only=False)
             for _, doc, start, n, key, digest, _ in _located(batch, symbols):
-                yield pa.record_batch({"h": key, "dig": digest, "doc": ids[doc],
-                                       "at": _place(th[doc], start, n)})
+                yield pa.record_batch({"h": key, "dig": digest, "doc": ids[doc], "th": th[doc],
+                                       "at": _place(start, n)})
 
     return map_batches(source, cut, PIECE)
 
@@ -187,7 +188,7 @@ def _pieces(source: DataFrame, symbols: Symbols) -> DataFrame:
 def _contents(source: DataFrame, wanted: DataFrame, symbols: Symbols) -> DataFrame:
     """The contents of the wanted pieces.  A piece of a hot key is cut into its
     windows: ``dig`` is then the window's digest and ``content`` is NULL."""
-    per_doc = wanted.groupBy("doc", F.shiftright("at", 40).alias("th")).agg(
+    per_doc = wanted.groupBy("doc", "th").agg(
         F.collect_list(F.struct("h", "at", "hot")).alias("pieces"))
     rows = source.join(saved(per_doc, "per_doc"), ["doc", "th"])
     window = symbols.window
@@ -196,6 +197,7 @@ def _contents(source: DataFrame, wanted: DataFrame, symbols: Symbols) -> DataFra
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             docs = batch.column("doc").to_numpy(zero_copy_only=False)
+            ths = batch.column("th").to_numpy(zero_copy_only=False)
             lists = batch.column("pieces")
             bounds = lists.offsets.to_numpy()
             all_h, all_at, all_hot = (
@@ -205,18 +207,18 @@ def _contents(source: DataFrame, wanted: DataFrame, symbols: Symbols) -> DataFra
             for i, text in enumerate(texts):
                 mine = slice(bounds[i], bounds[i + 1])
                 h, at, hot = all_h[mine], all_at[mine], all_hot[mine].astype(bool)
-                start, n = (at >> 8) & 0xFFFFFFFF, at & 0xFF
+                start, n = at >> 8, at & 0xFF
                 end = start + n + window - 1
                 found += symbols.contents(text, list(zip(
                     start[~hot].tolist(), end[~hot].tolist(), strict=True)))
                 if hot.any():
-                    yield _windows(int(docs[i]), int(at[0] >> 40), text, h[hot], start[hot],
-                                   n[hot], symbols)
+                    yield _windows(int(docs[i]), int(ths[i]), text, h[hot], start[hot], n[hot],
+                                   symbols)
             cold = np.flatnonzero(~all_hot[bounds[0]:bounds[-1]].astype(bool)) + bounds[0]
             owner = np.searchsorted(bounds, cold, side="right") - 1
             yield pa.record_batch({
                 "h": all_h[cold], "dig": np.zeros(len(cold), np.int64),
-                "doc": docs[owner], "at": all_at[cold],
+                "doc": docs[owner], "th": ths[owner], "at": all_at[cold],
                 "content": pa.array(found, pa.binary())})
 
     return saved(map_batches(rows.select("doc", "th", "text", "pieces"), read,
@@ -237,19 +239,19 @@ def _windows(doc: int, th: int, text: bytes, h: np.ndarray, start: np.ndarray, n
             digest[here] = seq.window_digests(at[here] - b + bounds[i])
     return pa.record_batch({
         "h": keys, "dig": digest, "doc": np.full(len(at), doc, np.int64),
-        "at": _place(np.full(len(at), th, np.int64), at, np.ones(len(at), np.int64)),
+        "th": np.full(len(at), th, np.int64), "at": _place(at, np.ones(len(at), np.int64)),
         "content": pa.nulls(len(at), pa.binary())})
 
 
 def _not_earliest(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     several = firsts.where("copies > 1").select("h", "dig", "first")
     return (rows.join(several, ["h", "dig"])
-            .where(F.struct("doc", "at") > F.col("first")).select("doc", "at"))
+            .where(F.struct("doc", "th", "at") > F.col("first")).select("doc", "th", "at"))
 
 
 def _firsts(rows: DataFrame, name: str) -> DataFrame:
     return saved(rows.groupBy("h", "dig").agg(
-        F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("copies")), name)
+        F.min(F.struct("doc", "th", "at")).alias("first"), F.count(F.lit(1)).alias("copies")), name)
 
 
 Index = Callable[[list[bytes]], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
@@ -266,27 +268,26 @@ def _searched(contents: DataFrame, find: Index, limit: int) -> DataFrame:
         size = 0
 
         def shard() -> pa.RecordBatch:
-            held.sort(key=lambda r: (r[1], r[2]))  # earliest first
-            piece, start, n = find([r[3] for r in held])
-            doc = np.array([r[1] for r in held], np.int64)
-            at = np.array([r[2] for r in held], np.int64)
-            begin = ((at >> 8) & 0xFFFFFFFF)[piece] + start
-            return pa.record_batch({"doc": doc[piece], "at": _place((at >> 40)[piece], begin, n)})
+            held.sort(key=lambda r: r[1:4])  # earliest first
+            piece, start, n = find([r[4] for r in held])
+            doc, th, at = (np.array([r[k] for r in held], np.int64) for k in (1, 2, 3))
+            begin = (at >> 8)[piece] + start
+            return pa.record_batch({"doc": doc[piece], "th": th[piece], "at": _place(begin, n)})
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("h", "doc", "at", "content")),
-                           strict=True):
+            for row in zip(*(batch.column(c).to_pylist()
+                             for c in ("h", "doc", "th", "at", "content")), strict=True):
                 if size >= limit and row[0] != held[-1][0]:
                     yield shard()
                     held, size = [], 0
                 held.append(row)
-                size += len(row[3])
+                size += len(row[4])
         if held:
             yield shard()
 
-    cold = contents.where("content IS NOT NULL").select("h", "doc", "at", "content")
+    cold = contents.where("content IS NOT NULL").select("h", "doc", "th", "at", "content")
     dealt = cold.repartition(partitions(cold.sparkSession), "h").sortWithinPartitions("h")
-    return map_batches(dealt, search, "doc bigint, at bigint")
+    return map_batches(dealt, search, "doc bigint, th bigint, at bigint")
 
 
 def repeated(docs: DataFrame, id_col: str, text_col: str, symbols: Symbols, find: Index, *,
@@ -296,8 +297,7 @@ def repeated(docs: DataFrame, id_col: str, text_col: str, symbols: Symbols, find
     text = whole_text(text_col)
     source = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("doc"),
-        F.pmod(F.crc32(text.cast("binary")), F.lit(1 << 23)).cast("bigint").alias("th"),
-        text.alias("text"))
+        F.xxhash64(text).alias("th"), text.alias("text"))
     pieces = _pieces(source, symbols)
     counted = saved(pieces.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                     .select("h"), "counted")
@@ -305,14 +305,13 @@ def repeated(docs: DataFrame, id_col: str, text_col: str, symbols: Symbols, find
     firsts = _firsts(rows, "firsts")
     kinds = saved(firsts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "kinds")
     wanted = saved(firsts.join(kinds, "h").select(
-        "h", "first.doc", "first.at", (F.col("n") > hot).alias("hot")), "wanted")
+        "h", "first.doc", "first.th", "first.at", (F.col("n") > hot).alias("hot")), "wanted")
     contents = _contents(source, wanted, symbols)
     single = contents.where("content IS NULL").drop("content")
     found = [_not_earliest(rows, firsts), _searched(contents, find, limit),
              _not_earliest(single, _firsts(single, "window_firsts"))]
     hits = found[0].unionByName(found[1]).unionByName(found[2])
-    spans = hits.groupBy("doc", F.shiftright("at", 40).alias("th")).agg(
-        F.collect_list(F.col("at").bitwiseAND(F.lit((1 << 40) - 1))).alias("starts"))
+    spans = hits.groupBy("doc", "th").agg(F.collect_list("at").alias("starts"))
     return source, saved(spans, "spans")
 
 

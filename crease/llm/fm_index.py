@@ -159,8 +159,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of ``window`` words that also start earlier (smaller id, or same document,
     earlier start); ``kept_text`` has the other words, joined by one space.
     NULL texts are empty and texts shorter than a window have no spans.  NULL
-    ids come first; rows that share an id are ordered by a checksum of their
-    text, and rows that are the same in both are one document with one result.
+    ids come first; rows that share an id are ordered by a 64-bit hash of
+    their text, and rows that are the same in both are one document with one result.
     Other columns are not read; an empty table gives an empty result.
     """
     out = removal(docs, id_col, text_col, SpacedWords(window), _find(window), _kept, **options)

@@ -86,7 +86,7 @@ def byte_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (smaller id, or same document, earlier start), overlaps included; ``kept``
     has the other bytes (binary: a cut may split a character).  NULL texts are
     empty, shorter texts have no spans.  NULL ids come first; rows that share
-    an id are ordered by a checksum of their text, and rows that are the same
+    an id are ordered by a 64-bit hash of their text, and rows that are the same
     in both are one document with one result.  Other columns are not read; an
     empty table gives an empty result.
     """

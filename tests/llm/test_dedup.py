@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -247,6 +248,26 @@ def test_repeated_and_missing_ids(repeats):
     assert kept.where(F.col("doc_id") == 1).count() == 1
 
 
+@pytest.mark.parametrize("hot", [256, 1])
+def test_texts_without_id_are_told_apart_by_more_than_23_bits(spark, hot):
+    """Two texts whose CRC-32 is equal in its low 23 bits, both with a NULL id; the
+    words and bytes of the first repeat in it, the second has none twice."""
+    twice = " ".join(f"r{i}" for i in range(40))
+    clean = " ".join(f"c{i}" for i in range(90))
+    low = {zlib.crc32(f"{twice} x{i} {twice}".encode()) % (1 << 23): i for i in range(20000)}
+    j = next(j for j in range(20000)
+             if zlib.crc32(f"{clean} y{j}".encode()) % (1 << 23) in low)
+    clean = f"{clean} y{j}"
+    i = low[zlib.crc32(clean.encode()) % (1 << 23)]
+    other = " ".join(f"r{i}" for i in range(25)) + " z"  # a second kind of piece
+    docs = spark.createDataFrame([(None, f"{twice} x{i} {twice}"), (None, clean), (1, other)],
+                                 "doc_id long, text string")
+    words = {r.kept_text for r in fm_index.substring_dedup(docs, hot=hot).collect()}
+    assert words == {f"{twice} x{i}", clean, "z"}
+    kept = {bytes(r.kept) for r in r_index.byte_dedup(docs, hot=hot).collect()}
+    assert clean.encode() in kept and f"{twice} x{i} ".encode() in kept
+
+
 def test_empty_tables(nothing):
     assert minhash.near_duplicates(nothing).count() == 0
     assert minhash.one_of_each(nothing).count() == 0

@@ -70,7 +70,8 @@ def test_benchmark_hits_equal_brute_force(spark, corpus):
 def test_items_without_an_id_count_as_in_the_sql(spark, tmp_path):
     passage = " ".join(f"p{i}" for i in range(20))
     docs = [(1, f"x {passage} y"), (2, "nothing here"), (3, passage + " two words"), (4, None)]
-    items = [(None, passage), (None, "two words"), (7, "two words"), (8, None)]
+    items = [(None, passage), (None, "two words"), (7, "two words"), (8, None),
+             (9, " ".join(f"u{i}" for i in range(40)))]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(
         f"{tmp_path}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(

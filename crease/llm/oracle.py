@@ -221,6 +221,63 @@ SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign,
 FROM d LEFT JOIN o USING (doc_id)
 """
 
+_FINITE = """embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+_INTEGERS = """list_transform(embedding,
+                        lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))"""
+
+
+def _nearest(book: str) -> str:
+    """Parts with their nearest entry and squared distance, packed for the tie-break."""
+    return f"""
+  SELECT id, part, any_value(x) AS x, min(d * 64 + entry) AS best
+  FROM (SELECT pts.id, pts.part, pts.x, b.entry,
+               CAST(list_inner_product(list_concat(pts.y, [1.0, pts.norm]),
+                    list_concat(list_transform(b.c, lambda v: -2.0 * v),
+                                [list_inner_product(b.c, b.c), 1.0])) AS BIGINT) AS d
+        FROM pts JOIN {book} b USING (part))
+  GROUP BY id, part"""
+
+
+def _means(found: str, book: str) -> str:
+    return f"""
+  SELECT b.part, b.entry, coalesce(m.c, b.c) AS c
+  FROM {book} b LEFT JOIN (
+    SELECT part, entry, list(floor(s / n) ORDER BY place) AS c
+    FROM (SELECT part, best % 64 AS entry, place, CAST(sum(x[place]) AS DOUBLE) AS s, count(*) AS n
+          FROM {found}, (SELECT unnest(range(1, (SELECT min(len(x)) FROM pts) + 1)) AS place)
+          GROUP BY ALL) GROUP BY part, entry) m USING (part, entry)"""
+
+
+_OP11 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label, {_INTEGERS} AS q
+  FROM embeddings WHERE {_FINITE}),
+pts AS MATERIALIZED (
+  SELECT id, part, x, y, list_inner_product(y, y) AS norm
+  FROM (SELECT id, part, x, list_transform(x, lambda n: CAST(n AS DOUBLE)) AS y
+        FROM (SELECT id, part, q[part * len(q) // 16 + 1:(part + 1) * len(q) // 16] AS x
+              FROM v, (SELECT unnest(range(16)) AS part)))),
+b0 AS MATERIALIZED (SELECT part, id - 1 AS entry, y AS c FROM pts WHERE id <= 64),
+n0 AS MATERIALIZED ({_nearest("b0")}),
+b1 AS MATERIALIZED ({_means("n0", "b0")}),
+n1 AS MATERIALIZED ({_nearest("b1")}),
+b2 AS MATERIALIZED ({_means("n1", "b1")}),
+n2 AS MATERIALIZED ({_nearest("b2")}),
+codes AS (
+  SELECT id, string_agg(printf('%02x', CAST(best % 64 AS BIGINT)), '' ORDER BY part) AS code,
+         CAST(sum(best // 64) AS BIGINT) AS error
+  FROM n2 GROUP BY id),
+books AS (
+  SELECT sha256(string_agg(CAST(CAST(value AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, place))
+         AS sha
+  FROM (SELECT part, entry, unnest(c) AS value, generate_subscripts(c, 1) AS place FROM b2))
+SELECT vec_id, code, error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha FROM books) AS codebooks_sha256
+FROM v JOIN codes USING (id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": _OP1,
     "op3_minhash": _OP3,
@@ -229,4 +286,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_byte_dedup": _OP6,
     "op9_quality_rules": _OP9,
     "op10_secret_scan": _OP10,
+    "op11_vector_codes": _OP11,
 }

@@ -20,6 +20,7 @@ from crease.llm import (
     r_index,
     secrets,
     token_files,
+    vector_codes,
 )
 from crease.llm._common import table, work_path
 
@@ -113,8 +114,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.span_list(F.col("spans")).alias("spans"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).select(
+        "row.vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontamination, op2_bpe, op3_minhash, op4_line_dedup, op5_substring_dedup,
-        op6_byte_dedup, op7_language_id, op8_token_files, op9_quality_rules, op10_secret_scan)
+        op6_byte_dedup, op7_language_id, op8_token_files, op9_quality_rules, op10_secret_scan, op11_vector_codes)
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from crease.llm import (
     bpe,
+    byte_bpe,
     contamination,
     fm_index,
     language,
@@ -25,6 +26,7 @@ from crease.llm import (
 from crease.llm._common import table, work_path
 
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def _sha(column: Column) -> Column:
@@ -119,8 +121,17 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.byte_bpe_encode(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path(RANKS))
+    return coded.select(
+        "row.doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"),
+        F.sha2("ids_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontamination, op2_bpe, op3_minhash, op4_line_dedup, op5_substring_dedup,
-        op6_byte_dedup, op7_language_id, op8_token_files, op9_quality_rules, op10_secret_scan, op11_vector_codes)
+        op6_byte_dedup, op7_language_id, op8_token_files, op9_quality_rules, op10_secret_scan, op11_vector_codes,
+        op13_byte_bpe)
 }

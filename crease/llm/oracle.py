@@ -278,6 +278,28 @@ SELECT vec_id, code, error,
 FROM v JOIN codes USING (id)
 """
 
+_OP12 = f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform({_INTEGERS}, lambda n: CAST(n AS DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+scores AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score
+  FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id
+                               ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": _OP1,
     "op3_minhash": _OP3,
@@ -287,4 +309,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_quality_rules": _OP9,
     "op10_secret_scan": _OP10,
     "op11_vector_codes": _OP11,
+    "op12_hard_negatives": _OP12,
 }

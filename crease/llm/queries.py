@@ -13,6 +13,7 @@ from crease.llm import (
     bpe,
     byte_bpe,
     contamination,
+    cover_tree,
     fm_index,
     language,
     lines,
@@ -121,6 +122,12 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return cover_tree.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = byte_bpe.byte_bpe_encode(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path(RANKS))
@@ -133,5 +140,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontamination, op2_bpe, op3_minhash, op4_line_dedup, op5_substring_dedup,
         op6_byte_dedup, op7_language_id, op8_token_files, op9_quality_rules, op10_secret_scan, op11_vector_codes,
-        op13_byte_bpe)
+        op12_hard_negatives, op13_byte_bpe)
 }

@@ -42,12 +42,15 @@ def limbs(values: np.ndarray, bits: int) -> list[np.ndarray]:
     return [*out, values.astype(np.float64)]
 
 
-def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``a @ b.T`` of int64 matrices by float64 BLAS, exact if the results fit int64."""
-    bits = (53 - max(1, a.shape[1]).bit_length()) // 2
-    out = np.zeros((len(a), len(b)), np.int64)
-    right = limbs(b, bits)
-    for i, x in enumerate(limbs(a, bits)):
+def limb_bits(width: int) -> int:
+    """Bits of a limb so that sums of ``width`` products stay within 2^53."""
+    return (53 - max(1, width).bit_length()) // 2
+
+
+def limb_products(left: list[np.ndarray], right: list[np.ndarray], bits: int) -> np.ndarray:
+    """``a @ b.T`` from the limbs of both, exact if the results fit int64."""
+    out = np.zeros((len(left[0]), len(right[0])), np.int64)
+    for i, x in enumerate(left):
         for j, y in enumerate(right):
             shift = bits * (i + j)
             if shift < 64:  # beyond it nothing is left of a result that fits
@@ -55,6 +58,12 @@ def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b.T`` of int64 matrices by float64 BLAS, exact if the results fit int64."""
+    bits = limb_bits(a.shape[1])
+    return limb_products(limbs(a, bits), limbs(b, bits), bits)
+
+
 def usable(vector: str | Column) -> Column:
     """Not NULL, not empty, every component there and finite."""
     column = F.col(vector) if isinstance(vector, str) else vector

@@ -1,8 +1,9 @@
 """Gold layer: career leaderboards, team form and the match summary.
 
-Each builder takes Silver DataFrames and returns a DataFrame.  The two
+Each builder takes Silver DataFrames and returns a DataFrame.  The two ranked
 leaderboards run jobs when called: :func:`crease.operators.ranking.global_ranks`
-checkpoints the career totals and the counts of their ranked values.
+checkpoints the career totals and the counts of their ranked values.  ``boards``
+checkpoints the career totals of both roles.
 """
 
 from __future__ import annotations
@@ -13,11 +14,46 @@ from pyspark.sql import functions as F
 from crease.config import Thresholds
 from crease.functions.metrics import count_true, rounded_ratio, tier
 from crease.operators.ranking import global_rank, global_ranks
+from crease.session import ensure_checkpoint_dir
 
 _DEFAULT = Thresholds()
 
 
-def _career(deliveries: DataFrame, player: str, aggs: dict[str, Column],
+# The totals of each board and the order in which they are shown.
+BATTING = ("total_runs", "balls_faced", "boundaries", "sixes", "fours", "dot_balls",
+           "matches_played", "times_dismissed")
+BOWLING = ("total_wickets", "runs_conceded", "balls_bowled", "dot_balls", "wides", "noballs",
+           "matches")
+
+
+def _batting_sums(faced: Column | None = None) -> dict[str, Column]:
+    """Sums over the balls for which ``faced`` is true (all of them if None)."""
+    def on(c: Column) -> Column:
+        return c if faced is None else F.when(faced, c)
+
+    return {
+        "total_runs": F.sum(on(F.col("batsman_runs"))),
+        "balls_faced": F.count(on(F.col("ball"))),
+        "boundaries": count_true(on(F.col("is_boundary"))),
+        "sixes": count_true(on(F.col("is_six"))),
+        "fours": count_true(on(F.col("is_four"))),
+        "dot_balls": count_true(on(F.col("is_dot_ball"))),
+        "times_dismissed": count_true(on(F.col("is_wicket_delivery"))),
+    }
+
+
+def _bowling_sums() -> dict[str, Column]:
+    return {
+        "total_wickets": count_true("is_wicket_delivery"),
+        "runs_conceded": F.sum("total_runs"),
+        "balls_bowled": F.count("ball"),
+        "dot_balls": count_true("is_dot_ball"),
+        "wides": count_true("is_wide"),
+        "noballs": count_true("is_noball"),
+    }
+
+
+def _career(deliveries: DataFrame, player: str, sums: dict[str, Column],
             matches_alias: str) -> DataFrame:
     """Per-player totals plus the number of distinct matches played.
 
@@ -28,70 +64,117 @@ def _career(deliveries: DataFrame, player: str, aggs: dict[str, Column],
     balls never lands whole in one task.
     """
     per_match = deliveries.groupBy(player, "match_id").agg(
-        *[expr.alias(name) for name, expr in aggs.items()])
+        *[expr.alias(name) for name, expr in sums.items()])
     return per_match.groupBy(player).agg(
-        *[F.sum(name).alias(name) for name in aggs],
+        *[F.sum(name).alias(name) for name in sums],
         F.count("match_id").alias(matches_alias))
 
 
-def batsman_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_batsman,
-                  **rank_options) -> DataFrame:
-    """Career batting per batsman: wides are not balls faced (NULL flags drop too)."""
-    stats = (
-        _career(deliveries.filter(~F.col("is_wide")), "batsman", {
-            "total_runs": F.sum("batsman_runs"),
-            "balls_faced": F.count("ball"),
-            "boundaries": count_true("is_boundary"),
-            "sixes": count_true("is_six"),
-            "fours": count_true("is_four"),
-            "dot_balls": count_true("is_dot_ball"),
-            "times_dismissed": count_true("is_wicket_delivery"),
-        }, "matches_played")
-        .select("batsman", "total_runs", "balls_faced", "boundaries", "sixes", "fours",
-                "dot_balls", "matches_played", "times_dismissed")
-        .filter(F.col("matches_played") >= min_matches)
-        .withColumns({
-            "strike_rate": rounded_ratio("total_runs", "balls_faced", 100),
-            # never dismissed: the average is the run total itself
-            "batting_average": F.round(
-                F.when(F.col("times_dismissed") == 0, F.col("total_runs"))
-                 .otherwise(F.try_divide("total_runs", "times_dismissed")), 2),
-            "avg_runs_per_match": rounded_ratio("total_runs", "matches_played"),
-            "boundary_pct": rounded_ratio("boundaries", "balls_faced", 100),
-        })
-    )
-    ranked = global_rank(stats, "total_runs", descending=True, name="overall_rank",
+def _batting_board(totals: DataFrame, min_matches: int) -> DataFrame:
+    return (totals.select("batsman", *BATTING)
+            .filter(F.col("matches_played") >= min_matches)
+            .withColumns({
+                "strike_rate": rounded_ratio("total_runs", "balls_faced", 100),
+                # never dismissed: the average is the run total itself
+                "batting_average": F.round(
+                    F.when(F.col("times_dismissed") == 0, F.col("total_runs"))
+                     .otherwise(F.try_divide("total_runs", "times_dismissed")), 2),
+                "avg_runs_per_match": rounded_ratio("total_runs", "matches_played"),
+                "boundary_pct": rounded_ratio("boundaries", "balls_faced", 100),
+            }))
+
+
+def _bowling_board(totals: DataFrame, min_matches: int, min_wickets: int) -> DataFrame:
+    return (totals.select("bowler", *BOWLING)
+            .filter((F.col("matches") >= min_matches) & (F.col("total_wickets") >= min_wickets))
+            .withColumns({
+                # runs per over: runs / (balls / 6), in that order
+                "economy_rate": rounded_ratio(F.col("runs_conceded"), F.col("balls_bowled") / 6),
+                "bowling_average": rounded_ratio("runs_conceded", "total_wickets"),
+                "bowling_strike_rate": rounded_ratio("balls_bowled", "total_wickets"),
+                "dot_ball_pct": rounded_ratio("dot_balls", "balls_bowled", 100),
+            }))
+
+
+def batting_board(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_batsman
+                  ) -> DataFrame:
+    """Career batting per batsman without ranks: wides are not balls faced (NULL flags
+    drop too)."""
+    return _batting_board(_career(deliveries.filter(~F.col("is_wide")), "batsman",
+                                  _batting_sums(), "matches_played"), min_matches)
+
+
+def bowling_board(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_bowler,
+                  min_wickets: int = _DEFAULT.min_wickets_bowler) -> DataFrame:
+    """Career bowling per bowler without ranks; every ball and every extra counts against
+    them."""
+    return _bowling_board(_career(deliveries, "bowler", _bowling_sums(), "matches"),
+                          min_matches, min_wickets)
+
+
+def careers(deliveries: DataFrame) -> DataFrame:
+    """Career totals of both roles from one pass over the balls: ``role`` 0 is a batsman's
+    row (columns ``bat_*``), 1 a bowler's (``bowl_*``).
+
+    Grouping sets send each ball to its batsman's and its bowler's group of the
+    match, so both roles share one shuffle per level.
+    """
+    faced = ~F.col("is_wide")
+    batting, bowling = _batting_sums(faced), _bowling_sums()
+    per_match = deliveries.groupingSets(
+        [["batsman", "match_id"], ["bowler", "match_id"]], "batsman", "bowler", "match_id").agg(
+        F.grouping("batsman").alias("role"), F.count(F.when(faced, F.lit(1))).alias("faced"),
+        *[expr.alias(f"bat_{name}") for name, expr in batting.items()],
+        *[expr.alias(f"bowl_{name}") for name, expr in bowling.items()])
+    batted = F.col("faced") > 0  # a match of wides only is not one batted in
+    return (per_match.groupBy("role", "batsman", "bowler").agg(
+        *[F.sum(f"bat_{name}").alias(f"bat_{name}") for name in batting],
+        *[F.sum(f"bowl_{name}").alias(f"bowl_{name}") for name in bowling],
+        F.count(F.when(batted, F.col("match_id"))).alias("bat_matches_played"),
+        F.max(batted).alias("batted"), F.count("match_id").alias("bowl_matches"))
+        .where((F.col("role") == 1) | F.col("batted")).drop("batted"))
+
+
+def boards(deliveries: DataFrame, min_matches_batsman: int = _DEFAULT.min_matches_batsman,
+           min_matches_bowler: int = _DEFAULT.min_matches_bowler,
+           min_wickets: int = _DEFAULT.min_wickets_bowler) -> tuple[DataFrame, DataFrame]:
+    """``batting_board`` and ``bowling_board`` from one pass over the balls: ``careers``
+    (one row per player and role) is written once, and both boards read it."""
+    ensure_checkpoint_dir(deliveries.sparkSession)
+    totals = careers(deliveries).checkpoint(eager=True)
+    bat = totals.where(F.col("role") == 0).select(
+        "batsman", *[F.col(f"bat_{name}").alias(name) for name in BATTING])
+    bowl = totals.where(F.col("role") == 1).select(
+        "bowler", *[F.col(f"bowl_{name}").alias(name) for name in BOWLING])
+    return (_batting_board(bat, min_matches_batsman),
+            _bowling_board(bowl, min_matches_bowler, min_wickets))
+
+
+def rank_batting(board: DataFrame, **rank_options) -> DataFrame:
+    """The batting board with ``overall_rank`` (career runs) and ``performance_tier``."""
+    ranked = global_rank(board, "total_runs", descending=True, name="overall_rank",
                          **rank_options)
     return ranked.withColumn("performance_tier", tier("overall_rank"))
 
 
+def rank_bowling(board: DataFrame, **rank_options) -> DataFrame:
+    """The bowling board with ``economy_rank`` and ``wickets_rank``."""
+    # the economy rank orders the rounded rate, so rounding creates ties
+    return global_ranks(board, [("economy_rate", False, "economy_rank"),
+                                ("total_wickets", True, "wickets_rank")], **rank_options)
+
+
+def batsman_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_batsman,
+                  **rank_options) -> DataFrame:
+    """The ranked batting leaderboard."""
+    return rank_batting(batting_board(deliveries, min_matches), **rank_options)
+
+
 def bowler_stats(deliveries: DataFrame, min_matches: int = _DEFAULT.min_matches_bowler,
                  min_wickets: int = _DEFAULT.min_wickets_bowler,
                  **rank_options) -> DataFrame:
-    """Career bowling per bowler; every ball and every extra counts against them."""
-    stats = (
-        _career(deliveries, "bowler", {
-            "total_wickets": count_true("is_wicket_delivery"),
-            "runs_conceded": F.sum("total_runs"),
-            "balls_bowled": F.count("ball"),
-            "dot_balls": count_true("is_dot_ball"),
-            "wides": count_true("is_wide"),
-            "noballs": count_true("is_noball"),
-        }, "matches")
-        .select("bowler", "total_wickets", "runs_conceded", "balls_bowled", "dot_balls",
-                "wides", "noballs", "matches")
-        .filter((F.col("matches") >= min_matches) & (F.col("total_wickets") >= min_wickets))
-        .withColumns({
-            # runs per over: runs / (balls / 6), in that order
-            "economy_rate": rounded_ratio(F.col("runs_conceded"), F.col("balls_bowled") / 6),
-            "bowling_average": rounded_ratio("runs_conceded", "total_wickets"),
-            "bowling_strike_rate": rounded_ratio("balls_bowled", "total_wickets"),
-            "dot_ball_pct": rounded_ratio("dot_balls", "balls_bowled", 100),
-        })
-    )
-    # the economy rank orders the rounded rate, so rounding creates ties
-    return global_ranks(stats, [("economy_rate", False, "economy_rank"),
-                                ("total_wickets", True, "wickets_rank")], **rank_options)
+    """The ranked bowling leaderboard."""
+    return rank_bowling(bowling_board(deliveries, min_matches, min_wickets), **rank_options)
 
 
 def team_season_wins(matches: DataFrame, window: int = _DEFAULT.rolling_seasons) -> DataFrame:

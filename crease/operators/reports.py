@@ -1,8 +1,10 @@
 """Report queries over the Gold tables (Q1-Q6 and two Gold summaries).
 
-Rank filters compare stored ranks (``<= n``), so ties can return more than
-``n`` rows.  Reports return every qualifying row unless ``limit`` is given;
-only the venue report is a top-k by definition.
+Rank filters compare ranks (``<= n``), so ties can return more than ``n`` rows.  On a
+board with stored ranks they are a filter; on a board without, the ranks up to
+``n`` come from a top-k and nothing else is ranked.  Reports return every
+qualifying row unless ``limit`` is given; only the venue report is a top-k by
+definition.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crease.config import Thresholds
-from crease.functions.metrics import count_true, rounded_ratio
+from crease.functions.metrics import count_true, rounded_ratio, tier
+from crease.operators.ranking import top_ranked
 
 _DEFAULT = Thresholds()
 
@@ -20,11 +23,16 @@ def _limit(df: DataFrame, limit: int | None) -> DataFrame:
     return df if limit is None else df.limit(limit)
 
 
-def _ranked(board: DataFrame, rank: str, n: int, player: str, columns: list[str],
-            limit: int | None) -> DataFrame:
+def _ranked(board: DataFrame, rank: str, key: str, descending: bool, n: int, player: str,
+            columns: list[str], limit: int | None) -> DataFrame:
     """Players ranked ``<= n``; ties are ordered by name."""
-    return _limit(board.filter(F.col(rank) <= n).select(rank, player, *columns)
-                  .orderBy(rank, player), limit)
+    if rank in board.columns:
+        top = board.filter(F.col(rank) <= n)
+    else:
+        top = top_ranked(board, key, n, descending=descending, name=rank)
+        if "performance_tier" in columns:
+            top = top.withColumn("performance_tier", tier(rank))
+    return _limit(top.select(rank, player, *columns).orderBy(rank, player), limit)
 
 
 # The columns each report shows.
@@ -36,19 +44,22 @@ WICKET_COLUMNS = ["total_wickets", "economy_rate", "dot_ball_pct"]
 def top_scorers(batsman: DataFrame, n: int = _DEFAULT.top_n,
                 limit: int | None = None) -> DataFrame:
     """Q1: batsmen ranked ``<= n`` by career runs."""
-    return _ranked(batsman, "overall_rank", n, "batsman", SCORER_COLUMNS, limit)
+    return _ranked(batsman, "overall_rank", "total_runs", True, n, "batsman", SCORER_COLUMNS,
+                   limit)
 
 
 def best_economy(bowler: DataFrame, n: int = _DEFAULT.top_n,
                  limit: int | None = None) -> DataFrame:
     """Q2: bowlers ranked ``<= n`` by (rounded) economy rate."""
-    return _ranked(bowler, "economy_rank", n, "bowler", ECONOMY_COLUMNS, limit)
+    return _ranked(bowler, "economy_rank", "economy_rate", False, n, "bowler", ECONOMY_COLUMNS,
+                   limit)
 
 
 def top_wicket_takers(bowler: DataFrame, n: int = _DEFAULT.top_n,
                       limit: int | None = None) -> DataFrame:
     """Gold report: bowlers ranked ``<= n`` by wickets."""
-    return _ranked(bowler, "wickets_rank", n, "bowler", WICKET_COLUMNS, limit)
+    return _ranked(bowler, "wickets_rank", "total_wickets", True, n, "bowler", WICKET_COLUMNS,
+                   limit)
 
 
 def recent_team_form(team: DataFrame, seasons: int = _DEFAULT.recent_seasons,

@@ -2,9 +2,8 @@
 
 Every entry takes ``(spark, sf_dir)``, reads ``orders``/``lineitem`` through
 the adapters and returns a DataFrame covering the whole tables, with the
-layers composed in one plan.  Entries that rank (the leaderboards and the
-reports on them) run their ranks' checkpoint jobs when called; the rest stay
-lazy.
+layers composed in one plan.  Entries that rank, and the reports on the boards,
+run checkpoint jobs over one row per player when called; the rest stay lazy.
 """
 
 from __future__ import annotations
@@ -16,8 +15,6 @@ from pyspark.sql import functions as F
 
 from crease.operators import gold, reports, silver
 from crease.operators.ranking import global_rank
-from crease.plans.jobs import run_together
-from crease.session import ensure_checkpoint_dir
 from crease.sources.adapters import deliveries_from_lineitem, matches_from_orders
 
 
@@ -62,11 +59,11 @@ def match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q1_top_scorers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_scorers(batsman_stats(spark, sf_dir))
+    return reports.top_scorers(gold.batting_board(silver_deliveries(spark, sf_dir)))
 
 
 def q2_best_economy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.best_economy(bowler_stats(spark, sf_dir))
+    return reports.best_economy(gold.bowling_board(silver_deliveries(spark, sf_dir)))
 
 
 def q3_team_form(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,23 +78,12 @@ def q5_top_venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_venues(match_summary(spark, sf_dir))
 
 
-CAREER_COLUMNS = ["match_id", "batsman", "bowler", "ball", "batsman_runs", "total_runs",
-                  "is_boundary", "is_six", "is_four", "is_dot_ball", "is_wicket_delivery",
-                  "is_wide", "is_noball"]
-
-
 def q6_all_rounders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
-    # cleaned once for both boards, with the columns they read
-    deliveries = silver_deliveries(spark, sf_dir).select(*CAREER_COLUMNS).checkpoint(eager=True)
-    # the two leaderboards are independent jobs (each checkpoints its ranks)
-    boards = run_together({"bat": lambda: gold.batsman_stats(deliveries),
-                           "bowl": lambda: gold.bowler_stats(deliveries)})
-    return reports.all_rounders(boards["bat"], boards["bowl"])
+    return reports.all_rounders(*gold.boards(silver_deliveries(spark, sf_dir)))
 
 
 def top_wicket_takers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_wicket_takers(bowler_stats(spark, sf_dir))
+    return reports.top_wicket_takers(gold.bowling_board(silver_deliveries(spark, sf_dir)))
 
 
 def team_total_wins(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,25 +98,29 @@ def run_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
         for table, fn in transforms.items()})
 
 
-def gold_tables(matches: DataFrame, deliveries: DataFrame,
-                t: Thresholds) -> dict[str, Callable[[], DataFrame]]:
-    """Builders of the four Gold tables (lazy: ranks checkpoint when called)."""
-    return {
-        "batsman_stats": lambda: gold.batsman_stats(deliveries, t.min_matches_batsman),
-        "bowler_stats": lambda: gold.bowler_stats(deliveries, t.min_matches_bowler,
-                                                  t.min_wickets_bowler),
-        "team_season_wins": lambda: gold.team_season_wins(matches, t.rolling_seasons),
-        "match_summary": lambda: gold.match_summary(matches, deliveries),
-    }
-
-
 def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     matches = _read(spark, layout, "silver", "matches")
     deliveries = _read(spark, layout, "silver", "deliveries")
-    builders = gold_tables(matches, deliveries, layout.thresholds)
-    return _write_all(layout, {
-        name: (lambda name=name, build=build: _write(build(), layout, "gold", name, "gold"))
-        for name, build in builders.items()})
+    t = layout.thresholds
+
+    def leaderboards() -> dict[str, int]:
+        # one pass over the balls for both; each ranks and writes on its own
+        bat, bowl = gold.boards(deliveries, t.min_matches_batsman, t.min_matches_bowler,
+                                t.min_wickets_bowler)
+        return _write_all(layout, {
+            "batsman_stats": lambda: save("batsman_stats", gold.rank_batting(bat)),
+            "bowler_stats": lambda: save("bowler_stats", gold.rank_bowling(bowl))})
+
+    def save(name: str, df: DataFrame) -> int:
+        return _write(df, layout, "gold", name, "gold")
+
+    done = _write_all(layout, {
+        "leaderboards": leaderboards,
+        "team_season_wins": lambda: save("team_season_wins",
+                                         gold.team_season_wins(matches, t.rolling_seasons)),
+        "match_summary": lambda: save("match_summary",
+                                      gold.match_summary(matches, deliveries))})
+    return done.pop("leaderboards") | done
 
 
 def report_tables(batsman: DataFrame, bowler: DataFrame, team: DataFrame, summary: DataFrame,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crease.operators import gold, silver
-from crease.operators.ranking import global_rank
+from crease.operators.ranking import global_rank, top_ranked
 from crease.sources.adapters import deliveries_from_lineitem, matches_from_orders
 from tests.conftest import SF
 
@@ -58,14 +58,31 @@ def test_dedup_combines_before_its_shuffle(spark):
     assert "partial_min(struct(" in plan
 
 
-def test_bucketed_rank_single_partition_only_over_bounded_data(spark):
+def _above_single_partition(plan):
+    lines = plan.splitlines()
+    return [lines[i + 1] for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+
+
+def test_rank_gathers_nothing_in_one_partition(spark):
     li = spark.read.parquet(f"{SF['0.01']}/lineitem.parquet")
     parts = li.groupBy("l_partkey").agg(F.sum("l_quantity").alias("q"))
-    plan = _plan(global_rank(parts, "q", buckets=16))
-    lines = plan.splitlines()
-    children = [lines[i + 1] for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
-    assert children
-    # single-partition exchanges feed only the sampled keys and the bucket offsets
-    for child in children:
-        assert "partial_collect_list" in child or "keys=[__bucket" in child, child
+    plan = _plan(global_rank(parts, "q", buckets=16, bucket_rows=1))
+    assert not _above_single_partition(plan)
+    assert "rank(" not in plan and "Window" not in plan  # the running sums are stored
+
+
+def test_top_ranked_gathers_only_its_first_keys(spark):
+    li = spark.read.parquet(f"{SF['0.01']}/lineitem.parquet")
+    parts = li.groupBy("l_partkey").agg(F.sum("l_quantity").alias("q"))
+    plan = _plan(top_ranked(parts, "q", 10, descending=True))
+    assert plan.count("TakeOrderedAndProject(limit=10") == 1
+    assert all("TakeOrderedAndProject" in x for x in _above_single_partition(plan))
     assert "rank(" not in plan
+
+
+def test_both_boards_share_their_shuffles(spark):
+    _, d = _raw(spark)
+    plan = _plan(gold.careers(silver.enrich_deliveries(d)))
+    # dedup, both roles' (player, match), both roles' players
+    assert plan.count("Exchange") == 3
+    assert plan.count("Expand") == 1 and plan.count("FileScan") == 1

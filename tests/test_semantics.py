@@ -144,3 +144,48 @@ def test_timestamp_dates_are_truncated(spark):
     raw = raw.select("*", F.lit("League").alias("match_type"), F.lit("T1").alias("toss_winner"),
                      F.lit("T1").alias("winner"))
     assert silver.clean_matches(raw).first().match_date == D
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_boards_of_one_pass_equal_the_boards_of_two(spark):
+    balls = [ball(m, over=o, b=b, batsman=f"B{(m + b) % 4}", bowler=f"W{(m * o) % 3}",
+                  runs=(m + o * b) % 7, wide=int((o + b) % 5 == 0), noball=int(b == 3),
+                  out="B1" if (m + b) % 6 == 0 else None)
+             for m in range(1, 6) for o in range(1, 4) for b in range(1, 7)]
+    balls += [ball(9, b=b, batsman="only wides", bowler="W1", wide=1) for b in range(1, 4)]
+    balls += [ball(9, b=7, batsman="W1", bowler="B1", runs=4)]  # both roles, swapped
+    d = silver.enrich_deliveries(spark.createDataFrame(balls, BALL_COLS))
+    # a NULL flag is neither a wide nor a ball faced
+    d = d.withColumn("is_wide", F.when((F.col("match_id") != 3) | (F.col("ball") != 2),
+                                       F.col("is_wide")))
+    for bounds in ((1, 1, 0), (0, 0, 0), (4, 4, 2)):
+        bat, bowl = gold.boards(d, *bounds)
+        assert _rows(bat) == _rows(gold.batting_board(d, bounds[0]))
+        assert _rows(bowl) == _rows(gold.bowling_board(d, *bounds[1:]))
+        assert bat.columns == gold.batting_board(d).columns
+        assert bowl.columns == gold.bowling_board(d).columns
+    assert "only wides" not in {r.batsman for r in gold.boards(d, 0, 0, 0)[0].collect()}
+
+
+def test_reports_are_the_same_on_boards_with_and_without_ranks(spark):
+    rows = [(f"B{i:02d}", 500 - 10 * (i // 3), 100, 1, 1, 1, 1, 20, 2, 1.0, 2.0, 3.0, 4.0)
+            for i in range(40)]
+    bat = spark.createDataFrame(
+        rows, "batsman string, total_runs long, balls_faced long, boundaries long, sixes long, "
+              "fours long, dot_balls long, matches_played long, times_dismissed long, "
+              "strike_rate double, batting_average double, avg_runs_per_match double, "
+              "boundary_pct double")
+    for n in (1, 4, 10, 100):
+        got, want = reports.top_scorers(bat, n), reports.top_scorers(gold.rank_batting(bat), n)
+        assert got.dtypes == want.dtypes and got.collect() == want.collect()
+    assert reports.top_scorers(bat, 10).count() == 12  # a tie on the last rank
+    bowl = spark.createDataFrame(
+        [(f"W{i}", 10 + i % 4, None if i == 3 else 5.0 + i // 2, 1.5, 2.5) for i in range(12)],
+        "bowler string, total_wickets long, economy_rate double, bowling_average double, "
+        "dot_ball_pct double")
+    ranked = gold.rank_bowling(bowl)
+    for report in (reports.best_economy, reports.top_wicket_takers):
+        assert report(bowl, 5).collect() == report(ranked, 5).collect()

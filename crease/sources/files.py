@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
+import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from crease.plans.jobs import run_together
+from crease.sources.tables import commit_part, has_batch, load, new_part
+
+# headers of files read at the same time
+HEADER_JOBS = 16
+
 # audit columns each layer's sink appends (never part of the transforms)
 AUDIT_COLUMNS = {
     "bronze": {"ingested_at": F.current_timestamp, "pipeline_date": F.current_date},
@@ -17,15 +24,35 @@ AUDIT_COLUMNS = {
 
 # holds the raw line of a CSV record whose values do not fit the schema
 MALFORMED = "_corrupt_record"
-# names the folder of a table's current version
-POINTER = "_current"
 
 
 def csv_columns(spark: SparkSession, path: str, **options: str) -> list[str]:
-    """The names in the header of a CSV input (one line is read)."""
+    """The names in the header of a CSV file (one line is read)."""
     return spark.read.options(**options).option("header", "true").csv(path).columns
 
 
+def literal(path: str) -> str:
+    """A path as a pattern that matches nothing else."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def csv_groups(spark: SparkSession, path: str | list[str], **options: str
+               ) -> dict[tuple[str, ...], list[str]]:
+    """The CSV files of a folder, pattern or list, by their header.
+
+    Listing reads no content; each file costs one job that reads its first line,
+    several at a time.  Files without a byte have no header and are left out.
+    """
+    files = [literal(r["path"]) for r in spark.read.format("binaryFile").load(path)
+             .where("length > 0").select("path").orderBy("path").toLocalIterator()]
+    headers = run_together({f: (lambda f=f: tuple(csv_columns(spark, f, **options)))
+                            for f in files}, HEADER_JOBS)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in headers.items():
+        groups.setdefault(header, []).append(file)
+    return groups
+
+
 def bound_schema(header: list[str], schema: StructType, required: list[str]) -> StructType:
     """``schema`` in the order of ``header``; columns it does not know are text.
 
@@ -45,43 +72,43 @@ def by_name(df: DataFrame, schema: StructType) -> DataFrame:
         for f in schema.fields], *extra)
 
 
-def ingest(spark: SparkSession, path: str, schema: StructType | None = None,
+def ingest(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
            fmt: str = "csv", required: list[str] | None = None, **options: str) -> DataFrame:
-    """Read raw files.
-
-    CSV has a header and its columns are bound by name: files may order them
-    freely and may lack columns that are not ``required`` (default: the first
-    column of the schema), which are then NULL.  A record with a value that
-    does not fit its column's type keeps its raw line in ``_corrupt_record``.
-    All files of one call share one header.  With ``schema=None`` types are
-    inferred (an extra pass).
+    """Read raw files: a file, a folder, a pattern or a list of them.
+
+    CSV has a header and its columns are bound by name, file by file: files may
+    order them differently and may lack columns that are not ``required``
+    (default: the first column of the schema), which are then NULL.  Files of one
+    header are one scan, and the scans are united by name.  A record with a
+    value that does not fit its column's type keeps its raw line in
+    ``_corrupt_record``.  With ``schema=None`` types are inferred (an extra
+    pass) and all files must share one header.
     """
     reader = spark.read.format(fmt).options(**options)
     if fmt != "csv":
         return (reader.schema(schema) if schema is not None else reader).load(path)
-    reader = reader.option("header", "true")
     if schema is None:
-        return reader.option("inferSchema", "true").load(path)
-    header = csv_columns(spark, path, **options)
-    bound = bound_schema(header, schema, required or [schema.fields[0].name])
-    read = (reader.schema(StructType([*bound.fields, StructField(MALFORMED, StringType())]))
-            .option("columnNameOfCorruptRecord", MALFORMED).load(path))
-    return by_name(read, schema)
-
-
-def table_path(spark: SparkSession, path: str) -> str:
-    """The folder of a table's current version: what its pointer names, else ``path``."""
-    folder = path.rstrip("/")
-    try:
-        return f"{folder}/{spark.read.text(f'{folder}/{POINTER}').first()[0]}"
-    except Exception as error:  # a table that was written in place has no pointer
-        if "PATH_NOT_FOUND" in str(error):
-            return path
-        raise
-
-
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(table_path(spark, path))
+        return reader.option("header", "true").option("inferSchema", "true").load(path)
+    required = required or [schema.fields[0].name]
+    raw = StructType([*schema.fields, StructField(MALFORMED, StringType())])
+    scans = []
+    for header, files in csv_groups(spark, path, **options).items():
+        try:
+            bound = bound_schema(list(header), schema, required)
+        except ValueError as error:
+            raise ValueError(f"{error} ({files[0]})") from None
+        read = (spark.read.options(**options).option("header", "true")
+                .option("columnNameOfCorruptRecord", MALFORMED)
+                .schema(StructType([*bound.fields, raw[MALFORMED]])).csv(files))
+        scans.append(by_name(read, schema))
+    return reduce(DataFrame.union, scans) if scans else spark.createDataFrame([], raw)
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
+               version: int | None = None) -> DataFrame:
+    """A table as its latest complete version has it, or an earlier ``version``; a table
+    written in place by others is read as it is."""
+    return load(spark, path, fmt, version)
 
 
 def with_audit(df: DataFrame, layer: str) -> DataFrame:
@@ -92,29 +119,35 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
                 partition_by: list[str] | None = None) -> int:
     """Write ``df`` and return its row count, observed during the same job.
 
-    An overwrite writes a new version beside the current one and only then
-    moves the table's pointer, so readers keep the old version if the write
-    fails; old versions stay until the caller removes them.
+    The data goes to a new part of the table, and a commit (see ``tables``) makes
+    it the table's content (``overwrite``) or adds it (``append``): readers get
+    a whole version at any time, also when a write fails at whatever step.
+    ``tables.expire`` removes what old versions leave.
     """
     return observed_write(df, path, fmt, mode, partition_by)["rows"]
 
 
 def observed_write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                   partition_by: list[str] | None = None) -> dict[str, int]:
+                   partition_by: list[str] | None = None,
+                   batch: tuple[str, int] | None = None) -> dict[str, int]:
     """As ``write_table``; with ``_corrupt_record`` among the columns, also counts
-    the ``malformed`` records in the same job."""
+    the ``malformed`` records in the same job.
+
+    ``batch`` is a stream's name and the number of its batch: a batch that the
+    table holds already is not written again (0 rows)."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
     spark, folder, obs = df.sparkSession, path.rstrip("/"), Observation()
     counts = [F.count(F.lit(1)).alias("rows")]
     if MALFORMED in df.columns:
         counts.append(F.count(MALFORMED).alias("malformed"))
-    version = f"version-{uuid.uuid4().hex}"
-    target = f"{folder}/{version}" if mode == "overwrite" else table_path(spark, folder)
-    writer = df.observe(obs, *counts).write.format(fmt).mode(mode)
+    if batch and has_batch(spark, folder, batch):
+        return {"rows": 0} | ({"malformed": 0} if len(counts) > 1 else {})
+    part = new_part()
+    writer = df.observe(obs, *counts).write.format(fmt).mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(target)
-    if mode == "overwrite":
-        # one small file: the switch to the version that is now complete
-        spark.range(1).select(F.lit(version)).coalesce(1).write.mode("overwrite") \
-            .text(f"{folder}/{POINTER}")
+    writer.save(f"{folder}/{part}")
+    commit_part(spark, folder, part, append=mode == "append", batch=batch,
+                partition_by=partition_by or ())
     return {name: int(n) for name, n in obs.get.items()}

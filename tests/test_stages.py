@@ -11,7 +11,7 @@ from crease.schemas import (
     MATCHES_REQUIRED,
     MATCHES_SCHEMA,
 )
-from crease.sources.files import ingest, read_table, write_table
+from crease.sources.files import csv_groups, ingest, read_table
 from tests.conftest import SF
 
 
@@ -123,13 +123,31 @@ def test_raw_text_stays_in_bronze_and_bad_records_are_counted(spark, tmp_path):
         1: (None, False), None: (2009, True)}
 
 
-def test_a_failed_overwrite_leaves_the_old_table(spark, tmp_path):
-    path = str(tmp_path / "t")
-    assert write_table(spark.range(5), path) == 5
-    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("no")).cast("long"))
-                                   .otherwise(F.col("id")).alias("id"))
-    with pytest.raises(Exception, match="no"):
-        write_table(broken, path)
-    assert read_table(spark, path).count() == 5
-    assert write_table(spark.range(7), path) == 7
-    assert read_table(spark, path).count() == 7
+def test_files_of_one_folder_may_have_different_headers(spark, tmp_path):
+    row = {"match_id": 1, "inning": 1, "over": 1, "ball": 1, "batsman": "BAT", "bowler": "BOWL",
+           "batsman_runs": 4, "total_runs": 5, "fielder": "F", "new column": "?"}
+    swapped = ["bowler", "batsman", *[c for c in DELIVERIES_REQUIRED if c[:3] not in ("bow",)
+                                      and c != "batsman"]]
+    headers = [DELIVERIES_REQUIRED, swapped, DELIVERIES_REQUIRED, [*swapped, "fielder"],
+               ["new column", *DELIVERIES_REQUIRED]]
+    folder = tmp_path / "d"
+    folder.mkdir()
+    for i, header in enumerate(headers):
+        name = "odd [1]{a}*.csv" if i == 1 else f"f{i}.csv"
+        (folder / name).write_text(",".join(header) + "\n" + ",".join(
+            str(row[c] + 10 * i if c == "match_id" else row[c]) for c in header) + "\n")
+    (folder / "empty.csv").write_text("")
+    assert len(csv_groups(spark, str(folder))) == 4
+    got = ingest(spark, str(folder), DELIVERIES_SCHEMA, required=DELIVERIES_REQUIRED)
+    assert got.columns == [*[f.name for f in DELIVERIES_SCHEMA.fields], "_corrupt_record"]
+    found = {r.match_id: r for r in got.collect()}
+    assert sorted(found) == [1, 11, 21, 31, 41]
+    for r in found.values():
+        assert (r.batsman, r.bowler, r.batsman_runs, r.total_runs) == ("BAT", "BOWL", 4, 5)
+        assert r._corrupt_record is None
+    assert [found[i].fielder for i in (1, 31)] == [None, "F"]
+    (folder / "short.csv").write_text("match_id,inning\n1,1\n")
+    with pytest.raises(ValueError, match="missing columns.*short.csv"):
+        ingest(spark, str(folder), DELIVERIES_SCHEMA, required=DELIVERIES_REQUIRED)
+    (tmp_path / "none").mkdir()
+    assert ingest(spark, str(tmp_path / "none"), DELIVERIES_SCHEMA).count() == 0

@@ -290,6 +290,16 @@ def _searched(contents: DataFrame, find: Index, limit: int) -> DataFrame:
     return map_batches(dealt, search, "doc bigint, th bigint, at bigint")
 
 
+def _once(source: DataFrame) -> DataFrame:
+    """One row per ``(doc, th)``: copies of a row are no earlier place of one another,
+    and their windows are the same.  Only rows that repeat are shuffled."""
+    again = saved(source.groupBy("doc", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                  .select("doc", "th"), "again")
+    one = source.join(again, ["doc", "th"], "left_semi").groupBy("doc", "th") \
+        .agg(F.min("text").alias("text"))
+    return source.join(again, ["doc", "th"], "left_anti").unionByName(saved(one, "one"))
+
+
 def repeated(docs: DataFrame, id_col: str, text_col: str, symbols: Symbols, find: Index, *,
              hot: int = 256, limit: int = 1 << 17) -> tuple[DataFrame, DataFrame]:
     """``(source, spans)``: the rows as ``(doc, th, text)`` and, for texts with
@@ -298,7 +308,8 @@ def repeated(docs: DataFrame, id_col: str, text_col: str, symbols: Symbols, find
     source = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("doc"),
         F.xxhash64(text).alias("th"), text.alias("text"))
-    pieces = _pieces(source, symbols)
+    once = _once(source)
+    pieces = _pieces(once, symbols)
     counted = saved(pieces.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                     .select("h"), "counted")
     rows = saved(pieces.join(counted, "h"), "rows")
@@ -306,7 +317,7 @@ def repeated(docs: DataFrame, id_col: str, text_col: str, symbols: Symbols, find
     kinds = saved(firsts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "kinds")
     wanted = saved(firsts.join(kinds, "h").select(
         "h", "first.doc", "first.th", "first.at", (F.col("n") > hot).alias("hot")), "wanted")
-    contents = _contents(source, wanted, symbols)
+    contents = _contents(once, wanted, symbols)
     single = contents.where("content IS NULL").drop("content")
     found = [_not_earliest(rows, firsts), _searched(contents, find, limit),
              _not_earliest(single, _firsts(single, "window_firsts"))]

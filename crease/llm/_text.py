@@ -15,8 +15,6 @@ import pyarrow as pa
 PASS_BYTES = 1 << 20
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def mix(x: np.ndarray, own: bool = False) -> np.ndarray:
@@ -39,46 +37,79 @@ NOT_SPACE = ~SPACE
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
-_powers: dict[str, np.ndarray] = {}
+#: modulus of the rolling hash, a prime: a polynomial that is not zero has few roots,
+#: so no pattern of symbols collides whatever the base, as it does modulo 2^64
+_P = (1 << 31) - 1
+#: ``(bits of a value that a lane takes, its base)``; the bases were drawn once.
+#: Two ranges of n values share both lanes with a chance of (n / 2^31)^2 at most.
+_LANES = ((0, 1_171_286_443), (31, 768_542_519))
+
+_powers: dict[int, np.ndarray] = {}
 
 
 def _pow(base: int, n: int) -> np.ndarray:
+    """``base ** i`` modulo the prime, for ``i`` below ``n`` at least."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         size = max(n, PASS_BYTES + 4096)
-        step = np.full(size, base, dtype=_U)
-        step[0] = 1
-        with np.errstate(over="ignore"):
-            have = np.cumprod(step, dtype=_U)
+        have = np.ones(1, _U)
+        while len(have) < size:  # the next half is the first half times a power
+            have = np.concatenate([have, have * _U(pow(base, len(have), _P)) % _U(_P)])
         if n <= 2 * PASS_BYTES:
             _powers[base] = have
     return have
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Equal modulo the prime and smaller: below 2^33 for any 64-bit value, then below
+    2^31 + 4."""
+    high = x >> _U(31)
+    x = x & _U(_P)
+    x += high
+    return x
+
+
 class Rolling:
     """Hashes of any range of a sequence of 64-bit values."""
 
     def __init__(self, values: np.ndarray):
         n = len(values)
-        self._sum = np.zeros(n + 1, dtype=_U)
+        self._lanes = []
+        for shift, base in _LANES:
+            term = (values >> _U(shift)) & _U(_P)
+            term *= _pow(base, n)[:n]
+            sums = np.zeros(n + 1, dtype=_U)
+            np.cumsum(_fold(term), out=sums[1:])  # terms below 2^33: no overflow
+            self._lanes.append((sums, _pow(pow(base, -1, _P), n + 1)))
+
+    @staticmethod
+    def _lane(raw: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+        out = _fold(_fold(raw))
+        out *= inverse
+        out = _fold(_fold(_fold(out)))
+        out[out >= _U(_P)] -= _U(_P)
+        return out
+
+    @staticmethod
+    def _mixed(lanes: list[np.ndarray], length: np.ndarray | np.uint64) -> np.ndarray:
         with np.errstate(over="ignore"):
-            np.multiply(values, _pow(_BASE, n)[:n], out=self._sum[1:])
-            np.cumsum(self._sum[1:], out=self._sum[1:])
-        self._inverse = _pow(_INVERSE, n + 1)
+            out = lanes[0] << _U(31)
+            out |= lanes[1]
+            out ^= length * _U(0xA0761D6478BD642F)
+        return mix(out, own=True)
 
     def every(self, length: int) -> np.ndarray:
         """The hash of each range of ``length`` values, as ``of`` gives it."""
+        lanes = []
+        for sums, inverse in self._lanes:
+            raw = sums[length:] - sums[:-length]
+            lanes.append(self._lane(raw, inverse[:len(raw)]))
         with np.errstate(over="ignore"):
-            raw = self._sum[length:] - self._sum[:-length]
-            raw *= self._inverse[:len(raw)]
-            raw ^= _U(length) * _U(0xA0761D6478BD642F)
-        return mix(raw, own=True)
+            return self._mixed(lanes, _U(length))
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            raw = (self._sum[end] - self._sum[start]) * self._inverse[start]
-            length = (end - start).astype(_U) * _U(0xA0761D6478BD642F)
-            return mix(raw ^ length)
+        return self._mixed([self._lane(sums[end] - sums[start], inverse[start])
+                            for sums, inverse in self._lanes], (end - start).astype(_U))
 
 
 def byte_hashes(data: np.ndarray) -> Rolling:

@@ -17,15 +17,18 @@ by ``BUCKETS`` and the number of languages.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crease.llm import _text
-from crease.llm._common import map_rows, whole_text
+from crease.llm._common import map_batches
 
 BUCKETS = 1 << 18
 #: words of one chain; a longer text is several chains
@@ -102,17 +105,26 @@ class Chains:
         return np.where(there, self.first[:, None] + step, 0), there
 
 
+#: distinct words scored at once, and chains labelled at once
+WORDS, CHAINS = 4096, 256
+
+
 def emissions(weights: np.ndarray, found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Scores of each distinct word for each language."""
-    total = np.zeros((len(found) + 1, weights.shape[1]))
-    np.cumsum(weights[found], axis=0, out=total[1:])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    out = np.empty((len(bounds) - 1, weights.shape[1]))
+    for at in range(0, len(out), WORDS):
+        cut = bounds[at:at + WORDS + 1]
+        total = np.zeros((cut[-1] - cut[0] + 1, weights.shape[1]))
+        np.cumsum(weights[found[cut[0]:cut[-1]]], axis=0, out=total[1:])
+        out[at:at + WORDS] = total[cut[1:] - cut[0]] - total[cut[:-1] - cut[0]]
+    return out
 
 
-def forward_backward(score: np.ndarray, there: np.ndarray, start: np.ndarray, step: np.ndarray
-                     ) -> tuple[np.ndarray, np.ndarray]:
+def forward_backward(score: np.ndarray, there: np.ndarray, start: np.ndarray, step: np.ndarray,
+                     steps: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Label distributions ``[chain, word, label]``, and for each pair of labels the
-    expected number of steps between them over all chains."""
+    expected number of steps between them over all chains (zeros without ``steps``:
+    only training needs them)."""
     n, length, labels = score.shape
     local = np.exp(score - score.max(axis=2, keepdims=True))
     move = np.exp(step)
@@ -129,9 +141,10 @@ def forward_backward(score: np.ndarray, there: np.ndarray, start: np.ndarray, st
     for t in range(length - 2, -1, -1):
         here = there[:, t + 1]
         later = local[:, t + 1] * back
-        pair = ahead[:, t, :, None] * move * later[:, None, :]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        expected += pair[here].sum(axis=0)
+        if steps:
+            pair = ahead[:, t, :, None] * move * later[:, None, :]
+            pair /= pair.sum(axis=(1, 2), keepdims=True)
+            expected += pair[here].sum(axis=0)
         now = later @ move.T
         back = np.where(here[:, None], now / now.sum(1, keepdims=True), 1.0)
         both = ahead[:, t] * back
@@ -194,10 +207,10 @@ class Model:
         grid, there = chains.grid()
         total = np.zeros((len(texts), len(self.labels)))
         each = emissions(self.weights, chains.features, chains.bounds)
-        for at in range(0, len(grid), 4096):
-            part = slice(at, at + 4096)
+        for at in range(0, len(grid), CHAINS):
+            part = slice(at, at + CHAINS)
             found, _ = forward_backward(each[chains.kind[grid[part]]], there[part], self.start,
-                                        self.step)
+                                        self.step, steps=False)
             np.add.at(total, chains.doc[part], (found * there[part][:, :, None]).sum(axis=1))
         mean = total / np.maximum(np.diff(chains.doc_first), 1)[:, None]
         best = mean.argmax(axis=1)
@@ -255,16 +268,17 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFr
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs: list[str] = []
-        scores: list[np.ndarray] = []
-        _, offsets = _text.utf8(batch.column("text"))
-        for a, b in _text.groups(offsets):
-            lang, score = sent.value.predict(batch.column("text").slice(a, b - a).to_pylist())
-            langs += lang
-            scores.append(score)
-        return pa.record_batch({
-            "row": batch.column("row"), "lang_pred": pa.array(langs, pa.string()),
-            "score": pa.array(np.concatenate(scores) if scores else [], pa.float64())})
-
-    return map_rows(rows.withColumn("text", whole_text(F.col(f"row.`{text_col}`"))), run, schema)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = pc.struct_field(batch.column("row"), place).cast(pa.string())
+            _, offsets = _text.utf8(text)
+            for a, b in _text.groups(offsets):  # a bounded number of bytes at a time
+                part = text.slice(a, b - a).fill_null("").to_pylist()
+                langs, scores = sent.value.predict(part)
+                yield pa.record_batch({
+                    "row": batch.column("row").slice(a, b - a),
+                    "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores)})
+
+    return map_batches(rows, run, schema)

@@ -56,9 +56,10 @@ _KIND, _LOWER = _tables()
 
 
 class Memory:
-    """The encodings of distinct pre-tokens by hash, laid end to end.
+    """The encodings of distinct pre-tokens by hash, laid end to end, and their
+    characters: a hash finds an entry, equal characters make it the right one.
 
-    ``encode`` gives the ids of one pre-token.  At ``size`` entries it starts
+    ``encode`` gives the ids of pre-tokens.  At ``size`` entries it starts
     anew, so that a task's memory stays bounded whatever the corpus.
     """
 
@@ -72,9 +73,13 @@ class Memory:
         self.begin = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.at = np.zeros(0, np.int64)
+        self.size_of = np.zeros(0, np.int64)
+        self.chars = np.zeros(0, np.uint32)
 
-    def rows(self, keys: np.ndarray, text_of: Callable[[np.ndarray], list[str]]) -> np.ndarray:
-        """Rows of the distinct sorted ``keys``, encoding the ones not known."""
+    def rows(self, keys: np.ndarray, chars_of: Callable[[np.ndarray], tuple]) -> np.ndarray:
+        """Rows of the distinct sorted ``keys``, encoding the ones not known.
+        ``chars_of`` gives the sizes of pre-tokens and their characters end to end."""
         if len(self.keys) > self.size:
             self.clear()
         at = np.searchsorted(self.keys, keys)
@@ -82,7 +87,12 @@ class Memory:
         known[known] = self.keys[at[known]] == keys[known]
         new = np.flatnonzero(~known)
         if len(new):
-            ids = self.encode(text_of(new))
+            size, chars = chars_of(new)
+            flat = chars.astype("<u4").tobytes().decode("utf-32-le")
+            cut = np.concatenate([[0], np.cumsum(size)]).tolist()
+            ids = self.encode([flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)])
+            place = len(self.chars) + np.cumsum(size) - size
+            self.chars = np.concatenate([self.chars, chars])
             count = np.array([len(x) for x in ids], np.int64)
             begin = len(self.ids) + np.cumsum(count) - count
             self.ids = np.concatenate([self.ids, np.fromiter(
@@ -92,6 +102,8 @@ class Memory:
             self.keys = every[order]
             self.begin = np.concatenate([self.begin, begin])[order]
             self.count = np.concatenate([self.count, count])[order]
+            self.at = np.concatenate([self.at, place])[order]
+            self.size_of = np.concatenate([self.size_of, size])[order]
             at = np.searchsorted(self.keys, keys)
         return at
 
@@ -132,13 +144,21 @@ def encode_plain(texts: list[str], memory: Memory) -> list[np.ndarray | None]:
         at = to
     keys, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
 
-    def text_of(new: np.ndarray) -> list[str]:
+    def chars_of(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         begin, stop = start[example[new]], end[example[new]]
-        flat = chars[spread(begin, stop - begin)].astype("<u4").tobytes().decode("utf-32-le")
-        cut = np.concatenate([[0], np.cumsum(stop - begin)]).tolist()
-        return [flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-
-    row = memory.rows(keys, text_of)[inverse]
+        return stop - begin, chars[spread(begin, stop - begin)]
+
+    row = memory.rows(keys, chars_of)[inverse]
+    # a text with a pre-token that only shares the hash of the one remembered is not done here
+    size = end - start
+    other = size != memory.size_of[row]
+    if not other.any():
+        unequal = chars[spread(start, size)] != memory.chars[spread(memory.at[row], size)]
+        if unequal.any():
+            other = np.add.reduceat(unequal, np.cumsum(size) - size) > 0
+    if other.any():
+        text = np.searchsorted(offsets, start[other], side="right") - 1
+        fine[text] = False
     count = memory.count[row]
     ids = memory.ids[spread(memory.begin[row], count)]
     # where the ids of each text begin

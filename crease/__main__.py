@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--deliveries", help="raw deliveries files (bronze input)")
     ap.add_argument("--source-format", default="csv")
     ap.add_argument("--table-format", default="parquet")
+    ap.add_argument("--match-buckets", type=int, help="bucket the silver tables by match")
     ap.add_argument("--only", choices=STAGES, help="run a single stage")
     ap.add_argument("--master", help="only to override the master spark-submit provides")
     args = ap.parse_args(argv)
@@ -28,7 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     layout = Layout(args.root, args.matches, args.deliveries, args.source_format,
-                    args.table_format)
+                    args.table_format, match_buckets=args.match_buckets)
     stages = [args.only] if args.only else list(STAGES)
     print(json.dumps(run_pipeline(spark, layout, stages)))
 

@@ -47,6 +47,9 @@ class Layout:
     thresholds: Thresholds = field(default_factory=Thresholds)
     # independent tables of one stage written concurrently (separate Spark jobs)
     concurrency: int = 4
+    # silver tables in so many buckets by match: gold's joins and totals per match then
+    # need no shuffle.  None: silver matches are partitioned by season instead
+    match_buckets: int | None = None
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -58,11 +61,15 @@ def _read(spark: SparkSession, layout: Layout, layer: str, table: str) -> DataFr
 
 # season-bounded reads of these tables open their seasons' folders only
 PARTITIONS = {("silver", "matches"): ["season"], ("gold", "match_summary"): ["season"]}
+# the match of a row, by which these are bucketed on demand
+MATCH = {("silver", "matches"): "id", ("silver", "deliveries"): "match_id"}
 
 
 def _write(df: DataFrame, layout: Layout, layer: str, table: str, audit: str) -> int:
+    key = MATCH.get((layer, table)) if layout.match_buckets else None
     return write_table(with_audit(df, audit), layout.path(layer, table), layout.table_format,
-                       partition_by=PARTITIONS.get((layer, table)))
+                       partition_by=PARTITIONS.get((layer, table)),
+                       buckets=[layout.match_buckets, key] if key else ())
 
 
 def _write_all(layout: Layout, jobs: dict[str, Callable]) -> dict:
@@ -91,11 +98,16 @@ def run_bronze(spark: SparkSession, layout: Layout) -> dict[str, int]:
 
 def run_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
     transforms = {"matches": silver.clean_matches, "deliveries": silver.enrich_deliveries}
-    return _write_all(layout, {
-        table: (lambda table=table, fn=fn: _write(
-            fn(_read(spark, layout, "bronze", table).drop(MALFORMED)), layout, "silver", table,
-            "silver"))
-        for table, fn in transforms.items()})
+
+    def build(table: str) -> int:
+        raw = _read(spark, layout, "bronze", table).drop(MALFORMED)
+        if layout.match_buckets:
+            # the one shuffle: by match, which is enough for the dedup and is what
+            # the buckets ask for
+            raw = raw.repartition(layout.match_buckets, MATCH["silver", table])
+        return _write(transforms[table](raw), layout, "silver", table, "silver")
+
+    return _write_all(layout, {table: (lambda table=table: build(table)) for table in transforms})
 
 
 def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from crease.plans.jobs import run_together
-from crease.sources.tables import commit_part, has_batch, load, new_part
+from crease.sources.tables import commit_part, has_batch, load, new_part, write_bucketed
 
 # headers of files read at the same time
 HEADER_JOBS = 16
@@ -116,20 +117,26 @@ def with_audit(df: DataFrame, layer: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> int:
+                partition_by: list[str] | None = None, buckets: Sequence = ()) -> int:
     """Write ``df`` and return its row count, observed during the same job.
 
     The data goes to a new part of the table, and a commit (see ``tables``) makes
     it the table's content (``overwrite``) or adds it (``append``): readers get
     a whole version at any time, also when a write fails at whatever step.
     ``tables.expire`` removes what old versions leave.
+
+    ``buckets`` (``[number, column, ...]``, in place of ``partition_by``) deals the rows
+    by a hash of the columns, so that joins and groupings on them need no
+    shuffle when the table is read; a column that one value fills makes one
+    bucket large.
     """
-    return observed_write(df, path, fmt, mode, partition_by)["rows"]
+    return observed_write(df, path, fmt, mode, partition_by, buckets=buckets)["rows"]
 
 
 def observed_write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                    partition_by: list[str] | None = None,
-                   batch: tuple[str, int] | None = None) -> dict[str, int]:
+                   batch: tuple[str, int] | None = None, buckets: Sequence = ()
+                   ) -> dict[str, int]:
     """As ``write_table``; with ``_corrupt_record`` among the columns, also counts
     the ``malformed`` records in the same job.
 
@@ -144,10 +151,15 @@ def observed_write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     if batch and has_batch(spark, folder, batch):
         return {"rows": 0} | ({"malformed": 0} if len(counts) > 1 else {})
     part = new_part()
-    writer = df.observe(obs, *counts).write.format(fmt).mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(f"{folder}/{part}")
+    if buckets:
+        # dealt here, unless the rows come dealt by the same columns and number
+        dealt = df.repartition(buckets[0], *buckets[1:])
+        write_bucketed(dealt.observe(obs, *counts), f"{folder}/{part}", fmt, buckets)
+    else:
+        writer = df.observe(obs, *counts).write.format(fmt).mode("errorifexists")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.save(f"{folder}/{part}")
     commit_part(spark, folder, part, append=mode == "append", batch=batch,
-                partition_by=partition_by or ())
+                partition_by=() if buckets else partition_by or (), buckets=buckets)
     return {name: int(n) for name, n in obs.get.items()}

@@ -1,8 +1,11 @@
 """CSV -> bronze -> silver -> gold -> reports on storage, restartable per stage."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
+from crease.operators import gold
 from crease.plans import catalog
 from crease.plans.stages import Layout, run_pipeline, run_stage
 from crease.schemas import (
@@ -59,6 +62,46 @@ def test_csv_round_trip(spark, tmp_path):
     assert run_stage(spark, layout, "gold")["bowler_stats"] == counts["gold"]["bowler_stats"]
 
 
+def test_bucketed_layers_need_no_shuffle_per_match(spark, tmp_path):
+    sf = SF["0.001"]
+    _as_raw_csv(catalog.bronze_matches(spark, sf), MATCHES_SCHEMA, str(tmp_path / "m"))
+    _as_raw_csv(catalog.bronze_deliveries(spark, sf), DELIVERIES_SCHEMA, str(tmp_path / "d"))
+    plain = Layout(str(tmp_path / "plain"), str(tmp_path / "m"), str(tmp_path / "d"))
+    dealt = replace(plain, root=str(tmp_path / "dealt"), match_buckets=6)
+    stages = ["bronze", "silver", "gold"]
+    assert run_pipeline(spark, plain, stages) == run_pipeline(spark, dealt, stages)
+
+    def stored(layout, layer, table):
+        df = read_table(spark, layout.path(layer, table))
+        return df.drop("ingested_at", "pipeline_date", "processed_at", "gold_created_at")
+
+    for layer, table in (("silver", "matches"), ("silver", "deliveries"),
+                         ("gold", "match_summary"), ("gold", "bowler_stats")):
+        one, two = (stored(x, layer, table) for x in (plain, dealt))
+        assert sorted(map(repr, one.select(*two.columns).collect())) \
+            == sorted(map(repr, two.collect()))
+    files = [f for f in (tmp_path / "dealt/silver/deliveries").glob("part-*/*.parquet")]
+    assert 1 < len(files) <= 6
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        m, d = stored(dealt, "silver", "matches"), stored(dealt, "silver", "deliveries")
+
+        def plan(df):
+            return df._jdf.queryExecution().executedPlan().toString()
+
+        summary = plan(gold.match_summary(m, d))
+        assert "SortMergeJoin" in summary and "Exchange" not in summary
+        assert "Exchange" not in plan(gold.innings_runs(d))
+        assert plan(gold.batting_board(d)).count("Exchange") == 1  # per player
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # a table is read by another session from its commits alone
+    assert read_table(spark.newSession(), dealt.path("silver", "deliveries")).count() == d.count()
+
+
 def test_ingest_infers_schema_when_none_given(spark, tmp_path):
     raw = catalog.bronze_matches(spark, SF["0.001"])
     _as_raw_csv(raw, MATCHES_SCHEMA, str(tmp_path / "m"))

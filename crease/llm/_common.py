@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
@@ -85,7 +86,22 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
                 schema: str | StructType) -> DataFrame:
     """``fn`` over the Arrow batches of each partition."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        trim()
+
+    return df.mapInArrow(run, schema)
+
+
+def trim() -> None:
+    """Give memory that is free back to the system: Spark keeps its Python workers, and
+    what one step leaves free in them counts against the steps after it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch],

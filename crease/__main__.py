@@ -7,6 +7,7 @@ import json
 
 from pyspark.sql import SparkSession
 
+from crease.plans.incremental import update
 from crease.plans.stages import STAGES, Layout, run_pipeline
 from crease.session import ensure_checkpoint_dir
 
@@ -19,6 +20,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source-format", default="csv")
     ap.add_argument("--table-format", default="parquet")
     ap.add_argument("--match-buckets", type=int, help="bucket the silver tables by match")
+    ap.add_argument("--update", action="store_true",
+                    help="append the raw files to bronze and rebuild what they change")
     ap.add_argument("--only", choices=STAGES, help="run a single stage")
     ap.add_argument("--master", help="only to override the master spark-submit provides")
     args = ap.parse_args(argv)
@@ -30,6 +33,9 @@ def main(argv: list[str] | None = None) -> None:
     ensure_checkpoint_dir(spark)
     layout = Layout(args.root, args.matches, args.deliveries, args.source_format,
                     args.table_format, match_buckets=args.match_buckets)
+    if args.update:
+        print(json.dumps(update(spark, layout)))
+        return
     stages = [args.only] if args.only else list(STAGES)
     print(json.dumps(run_pipeline(spark, layout, stages)))
 

@@ -31,6 +31,7 @@ from crease.sources.files import (
     with_audit,
     write_table,
 )
+from crease.sources.tables import Folder, latest
 
 STAGES = ("bronze", "silver", "gold", "reports")
 
@@ -55,8 +56,9 @@ class Layout:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
 
-def _read(spark: SparkSession, layout: Layout, layer: str, table: str) -> DataFrame:
-    return read_table(spark, layout.path(layer, table), layout.table_format)
+def read(spark: SparkSession, layout: Layout, layer: str, table: str,
+         number: int | None = None) -> DataFrame:
+    return read_table(spark, layout.path(layer, table), layout.table_format, number)
 
 
 # season-bounded reads of these tables open their seasons' folders only
@@ -65,73 +67,98 @@ PARTITIONS = {("silver", "matches"): ["season"], ("gold", "match_summary"): ["se
 MATCH = {("silver", "matches"): "id", ("silver", "deliveries"): "match_id"}
 
 
-def _write(df: DataFrame, layout: Layout, layer: str, table: str, audit: str) -> int:
+def write(df: DataFrame, layout: Layout, layer: str, table: str, audit: str,
+          made_from: dict[str, int] | None = None) -> int:
     key = MATCH.get((layer, table)) if layout.match_buckets else None
     return write_table(with_audit(df, audit), layout.path(layer, table), layout.table_format,
                        partition_by=PARTITIONS.get((layer, table)),
-                       buckets=[layout.match_buckets, key] if key else ())
+                       buckets=[layout.match_buckets, key] if key else (), made_from=made_from)
 
 
-def _write_all(layout: Layout, jobs: dict[str, Callable]) -> dict:
+def write_all(layout: Layout, jobs: dict[str, Callable]) -> dict:
     """Run a stage's independent table writes as concurrent Spark jobs."""
     return run_together(jobs, layout.concurrency)
 
 
-def run_bronze(spark: SparkSession, layout: Layout) -> dict[str, int]:
-    if not (layout.matches_source and layout.deliveries_source):
+def run_bronze(spark: SparkSession, layout: Layout, mode: str = "overwrite") -> dict[str, int]:
+    """Raw files to bronze; ``append`` takes the sources that are named, as new parts."""
+    if mode == "overwrite" and not (layout.matches_source and layout.deliveries_source):
         raise ValueError("bronze needs matches_source and deliveries_source")
     schemas = {"matches": (MATCHES_SCHEMA, MATCHES_REQUIRED),
                "deliveries": (DELIVERIES_SCHEMA, DELIVERIES_REQUIRED)}
-    sources = {"matches": layout.matches_source, "deliveries": layout.deliveries_source}
+    sources = {t: s for t, s in (("matches", layout.matches_source),
+                                 ("deliveries", layout.deliveries_source)) if s}
 
     def load(table: str) -> dict[str, int]:
         schema, required = schemas[table] if layout.source_format == "csv" else (None, None)
         raw = ingest(spark, sources[table], schema, layout.source_format, required)
         return observed_write(with_audit(raw, "bronze"), layout.path("bronze", table),
-                              layout.table_format)
+                              layout.table_format, mode)
 
-    done = _write_all(layout, {table: (lambda table=table: load(table)) for table in sources})
+    done = write_all(layout, {table: (lambda table=table: load(table)) for table in sources})
     counts = {table: found["rows"] for table, found in done.items()}
     return counts | {f"{table}_malformed": found["malformed"] for table, found in done.items()
                      if "malformed" in found}
 
 
-def run_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
-    transforms = {"matches": silver.clean_matches, "deliveries": silver.enrich_deliveries}
+SILVER = {"matches": silver.clean_matches, "deliveries": silver.enrich_deliveries}
+
+
+def version(spark: SparkSession, layout: Layout, layer: str, table: str) -> int | None:
+    """The number of a table's latest version; None for a table without commits."""
+    found = latest(Folder(spark, layout.path(layer, table)))
+    return found.number if found else None
+
 
+def _made_from(**numbers: int | None) -> dict[str, int]:
+    return {name: n for name, n in numbers.items() if n is not None}
+
+
+def run_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
     def build(table: str) -> int:
-        raw = _read(spark, layout, "bronze", table).drop(MALFORMED)
+        number = version(spark, layout, "bronze", table)
+        raw = read(spark, layout, "bronze", table, number).drop(MALFORMED)
         if layout.match_buckets:
             # the one shuffle: by match, which is enough for the dedup and is what
             # the buckets ask for
             raw = raw.repartition(layout.match_buckets, MATCH["silver", table])
-        return _write(transforms[table](raw), layout, "silver", table, "silver")
+        return write(SILVER[table](raw), layout, "silver", table, "silver",
+                     _made_from(bronze=number))
 
-    return _write_all(layout, {table: (lambda table=table: build(table)) for table in transforms})
+    return write_all(layout, {table: (lambda table=table: build(table)) for table in SILVER})
 
 
-def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
-    matches = _read(spark, layout, "silver", "matches")
-    deliveries = _read(spark, layout, "silver", "deliveries")
+def gold_builders(spark: SparkSession, layout: Layout, numbers: dict[str, int | None]
+                  ) -> dict[str, Callable]:
+    """Jobs that write the gold tables from the silver versions in ``numbers``."""
+    matches = read(spark, layout, "silver", "matches", numbers["matches"])
+    deliveries = read(spark, layout, "silver", "deliveries", numbers["deliveries"])
     t = layout.thresholds
 
+    def save(name: str, df: DataFrame, *made_from: str) -> int:
+        return write(df, layout, "gold", name, "gold",
+                     _made_from(**{n: numbers[n] for n in made_from}))
+
     def leaderboards() -> dict[str, int]:
         # one pass over the balls for both; each ranks and writes on its own
         bat, bowl = gold.boards(deliveries, t.min_matches_batsman, t.min_matches_bowler,
                                 t.min_wickets_bowler)
-        return _write_all(layout, {
-            "batsman_stats": lambda: save("batsman_stats", gold.rank_batting(bat)),
-            "bowler_stats": lambda: save("bowler_stats", gold.rank_bowling(bowl))})
+        return write_all(layout, {
+            "batsman_stats": lambda: save("batsman_stats", gold.rank_batting(bat), "deliveries"),
+            "bowler_stats": lambda: save("bowler_stats", gold.rank_bowling(bowl), "deliveries")})
 
-    def save(name: str, df: DataFrame) -> int:
-        return _write(df, layout, "gold", name, "gold")
-
-    done = _write_all(layout, {
+    return {
         "leaderboards": leaderboards,
         "team_season_wins": lambda: save("team_season_wins",
-                                         gold.team_season_wins(matches, t.rolling_seasons)),
-        "match_summary": lambda: save("match_summary",
-                                      gold.match_summary(matches, deliveries))})
+                                         gold.team_season_wins(matches, t.rolling_seasons),
+                                         "matches"),
+        "match_summary": lambda: save("match_summary", gold.match_summary(matches, deliveries),
+                                      "matches", "deliveries")}
+
+
+def run_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    numbers = {t: version(spark, layout, "silver", t) for t in SILVER}
+    done = write_all(layout, gold_builders(spark, layout, numbers))
     return done.pop("leaderboards") | done
 
 
@@ -151,11 +178,11 @@ def report_tables(batsman: DataFrame, bowler: DataFrame, team: DataFrame, summar
 
 
 def run_reports(spark: SparkSession, layout: Layout) -> dict[str, int]:
-    tables = {name: _read(spark, layout, "gold", name)
+    tables = {name: read(spark, layout, "gold", name)
               for name in ("batsman_stats", "bowler_stats", "team_season_wins", "match_summary")}
     out = report_tables(tables["batsman_stats"], tables["bowler_stats"],
                         tables["team_season_wins"], tables["match_summary"], layout.thresholds)
-    return _write_all(layout, {
+    return write_all(layout, {
         name: (lambda name=name, df=df: write_table(df, layout.path("reports", name),
                                                     layout.table_format))
         for name, df in out.items()})

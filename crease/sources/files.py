@@ -117,7 +117,8 @@ def with_audit(df: DataFrame, layer: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None, buckets: Sequence = ()) -> int:
+                partition_by: list[str] | None = None, buckets: Sequence = (),
+                made_from: dict[str, int] | None = None) -> int:
     """Write ``df`` and return its row count, observed during the same job.
 
     The data goes to a new part of the table, and a commit (see ``tables``) makes
@@ -130,19 +131,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     shuffle when the table is read; a column that one value fills makes one
     bucket large.
     """
-    return observed_write(df, path, fmt, mode, partition_by, buckets=buckets)["rows"]
+    return observed_write(df, path, fmt, mode, partition_by, buckets=buckets,
+                          made_from=made_from)["rows"]
 
 
 def observed_write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                    partition_by: list[str] | None = None,
-                   batch: tuple[str, int] | None = None, buckets: Sequence = ()
+                   batch: tuple[str, int] | None = None, buckets: Sequence = (),
+                   values: Sequence = (), made_from: dict[str, int] | None = None
                    ) -> dict[str, int]:
     """As ``write_table``; with ``_corrupt_record`` among the columns, also counts
     the ``malformed`` records in the same job.
 
     ``batch`` is a stream's name and the number of its batch: a batch that the
-    table holds already is not written again (0 rows)."""
-    if mode not in ("overwrite", "append"):
+    table holds already is not written again (0 rows).  Mode ``replace`` puts ``df`` in
+    place of the rows whose partition column has one of ``values``."""
+    if mode not in ("overwrite", "append", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
     spark, folder, obs = df.sparkSession, path.rstrip("/"), Observation()
     counts = [F.count(F.lit(1)).alias("rows")]
@@ -160,6 +164,7 @@ def observed_write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(f"{folder}/{part}")
-    commit_part(spark, folder, part, append=mode == "append", batch=batch,
-                partition_by=() if buckets else partition_by or (), buckets=buckets)
+    commit_part(spark, folder, part, mode, batch=batch,
+                partition_by=() if buckets else partition_by or (), buckets=buckets,
+                values=values, made_from=made_from, schema=df.schema.json())
     return {name: int(n) for name, n in obs.get.items()}

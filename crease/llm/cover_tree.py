@@ -280,7 +280,7 @@ def build_index(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "e
     heads = np.zeros((1, width))
     if pivots > 1:
         # a sample of bounded size, the same whatever the partitions
-        order = [F.xxhash64(F.col("v").cast("string")), F.col("id")]
+        order = [F.xxhash64("v"), F.col("id")]
         sample = given.select("v", "id").orderBy(*order).limit(SAMPLE).collect()
         unit = _unit(np.floor(scale * np.array([r["v"] for r in sample], np.float64)))
         heads = unit[farthest_first(unit, pivots)[0]]

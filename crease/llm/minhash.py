@@ -7,16 +7,16 @@ rows`` coordinates.  Documents that agree on all rows of a band share a bucket.
 
 Links are confirmed on the full shingle sets.  Inside a bucket not all pairs
 are made.  Texts that are the same are one node.  Round 1 checks each node
-against the representative of the bucket it shares most often: of a bucket's
-members, the one that meets the most others in all its buckets, so the one
-nearest to the middle of a group of edited copies; round 2 checks all members of a bucket that still has several
-components against its representative; round 3 checks the pairs across these
-components that can be links after that: what both share with the
-representative is enough, or they share shingles that it has not, found by a
-join on the rarest of these (a prefix filter, exact).  Pairs inside a component
-cannot change the result.  So each bucket pair ends
-up in one component, is ruled out by an exact bound, or is checked, and a group
-of thousands of copies costs links in proportion to its size.
+against the representatives of its buckets: of a bucket's members, the one that
+meets the most others in all its buckets, so the one nearest to the middle of a
+group of edited copies.  Round 2 takes the members of a representative that are
+still in several components, and of the pairs across these only those that can
+be links after round 1: what both share with the representative is enough, or
+they share shingles that it has not.  The latter are found by a join on the
+rarest of these, which lets a pair through only where the sizes and the shingles
+still to come leave room for a link (a prefix and a positional filter, both
+exact).  Pairs inside a component cannot change the result.  So each bucket pair
+ends up in one component, is ruled out by an exact bound, or is checked.
 
 A pair at similarity 0.75 shares none of 32 bands of 4 rows with probability
 5e-6 (less above); that is the only way a link can be missed.
@@ -80,8 +80,9 @@ def _node(text) -> F.Column:
 
 
 def _confirmed(edges: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``edges(a, b)`` with the size of the intersection of the full sets, ``both``,
-    whether the pair is a link, and the shingles of ``a`` that ``b`` has not, ``rest``."""
+    """``edges(a, b)`` with the ``size`` of the full set of ``a``, that of its
+    intersection with the one of ``b``, ``both``, whether the pair is a link, and the
+    shingles of ``a`` that ``b`` has not, ``rest``."""
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets: dict[bytes, np.ndarray] = {}
@@ -91,14 +92,16 @@ def _confirmed(edges: DataFrame, texts: DataFrame, words: int, percent: int) ->
             found = _lowered_shingles(batch.column(f"{side}_text").take(pa.array(new, pa.int64())),
                                       words)
             sets.update(zip((nodes[i] for i in new), found, strict=True))
-        shared, link, rest = [], [], []
+        size, shared, link, rest = [], [], [], []
         for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
             x, y = sets[a], sets[b]
             rest.append(np.setdiff1d(x, y, assume_unique=True).view(np.int64))
             both = len(x) - len(rest[-1])
+            size.append(len(x))
             shared.append(both)
             link.append(100 * both >= percent * (len(x) + len(y) - both))
         return pa.record_batch({"a": batch.column("a"), "b": batch.column("b"),
+                                "size": pa.array(size, pa.int64()),
                                 "both": pa.array(shared, pa.int64()),
                                 "link": pa.array(link, pa.bool_()),
                                 "rest": pa.array(rest, pa.list_(pa.int64()))})
@@ -106,7 +109,8 @@ def _confirmed(edges: DataFrame, texts: DataFrame, words: int, percent: int) ->
     pairs = (edges.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
              .join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b"))
     return saved(map_rows(pairs.select("a", "b", "a_text", "b_text"), check,
-                          "a binary, b binary, both bigint, link boolean, rest array<bigint>"), "checked")
+                          "a binary, b binary, size bigint, both bigint, link boolean, "
+                          "rest array<bigint>"), "checked")
 
 
 def _may_link(both: str, percent: int) -> F.Column:
@@ -120,28 +124,25 @@ def _by_rest(near: DataFrame, percent: int) -> DataFrame:
 
     A partner of a set shares ``percent`` of it, so ``need`` shingles at least
     besides the representative's; of these one is among all but the ``need - 1``
-    most frequent ones, on both sides.
+    most frequent ones, on both sides.  Where two sets meet first, they share no
+    more than this shingle and what comes after it in both.
     """
     each = near.withColumn("need", F.greatest(F.lit(1).cast("bigint"), F.floor(
         (F.lit(percent) * F.col("size") + 99) / 100) - F.col("both")))
     each = each.withColumn("shingle", F.explode("rest")).drop("rest")
-    often = saved(each.groupBy("rep", "shingle").agg(F.count(F.lit(1)).alias("n"))
-                  .where("n > 1"), "often")
+    often = saved(each.groupBy("rep", "shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"),
+        F.max("component").alias("hi")).where("lo <> hi").drop("lo", "hi"), "often")
     own = Window.partitionBy("node", "rep")
     rare = each.join(often, ["rep", "shingle"]) \
         .withColumn("at", F.row_number().over(own.orderBy("n", "shingle"))) \
-        .withColumn("all", F.count(F.lit(1)).over(own)) \
-        .where("at <= all - need + 1").drop("at", "all", "n")
+        .withColumn("after", F.count(F.lit(1)).over(own) - F.col("at")) \
+        .where("after >= need - 1").drop("at", "n", "need")
     rare = saved(rare, "rare")
-    met = rare.alias("x").join(rare.alias("y"), F.expr(
-        "x.rep = y.rep AND x.shingle = y.shingle AND x.component < y.component"))
-    met = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
-                      F.col("x.rep").alias("rep")).agg(
-        F.count(F.lit(1)).alias("met"), F.struct(F.first("x.size").alias("size")).alias("x"),
-        F.struct(F.first("y.size").alias("size")).alias("y"),
-        F.first(F.least("x.both", "y.both")).alias("both"),
-        F.first(F.greatest("x.need", "y.need") - 1).alias("frequent"))
-    return met.where(_may_link("both + met + frequent", percent)).select("a", "b")
+    return rare.alias("x").join(rare.alias("y"), F.expr(
+        "x.rep = y.rep AND x.shingle = y.shingle AND x.component < y.component")
+        & _may_link("least(x.both, y.both) + 1 + least(x.after, y.after)", percent)) \
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
@@ -149,15 +150,6 @@ def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
             .withColumn("component", F.coalesce("component", "node")))
 
 
-def _open(members: DataFrame, label: DataFrame) -> DataFrame:
-    """The members of buckets that hold several components, with theirs."""
-    labelled = saved(_labelled(members, label), "labelled")
-    several = saved(labelled.groupBy("bucket").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo <> hi").select("bucket"), "several")
-    return saved(labelled.join(several, "bucket"), "open")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     words: int = 5, percent: int = 75, bands: int = 32,
                     rows: int = 4) -> DataFrame:
@@ -192,7 +184,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = saved(base.where("size > 0").groupBy("node").agg(
         F.min("doc").alias("first"), F.first("size").alias("size"),
         F.first("keys").alias("keys")), "nodes")
-    spread = nodes.select("node", "size", F.explode("keys").alias("bucket"))
+    spread = nodes.select("node", F.explode("keys").alias("bucket"))
     shared = saved(spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
                    "buckets")
     members = saved(spread.join(shared, "bucket"), "members")
@@ -200,40 +192,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = saved(members.select("node", "bucket").join(involved, "node").groupBy("bucket")
                  .agg(F.max(F.struct("company", "node")).alias("rep"))
                  .select("bucket", F.col("rep.node").alias("rep")), "reps")
-    members = saved(members.drop("n").join(reps, "bucket"), "members")
+    pairs = saved(members.join(reps, "bucket").where("node <> rep")
+                  .select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     involved = involved.select("node")
     # the same kind of join at every size, so that small runs tell of large ones
     texts = saved(source.join(involved.hint("merge"), "node", "left_semi")
                   .select("node", "text"), "texts")
     texts = saved(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
-    # round 1: each node with the representative it meets in most buckets
-    best = (members.where("node <> rep").groupBy("node", "rep").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("node").agg(F.max(F.struct("n", "rep")).alias("best")))
-    checked = _confirmed(saved(best.select(F.col("node").alias("a"), F.col("best.rep").alias("b")),
-                               "best"), texts, words, percent)
-
-    # round 2: all members of buckets that are still open against the representative
-    open_rows = _open(members, components(checked.where("link")))
-    more = (open_rows.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
-            .distinct().join(checked, ["a", "b"], "left_anti"))
-    checked = checked.unionByName(_confirmed(saved(more, "rest"), texts, words, percent))
-
-    # round 3: pairs across components
-    open_rows = _open(open_rows.drop("component"), components(checked.where("link")))
-    known = checked.select(F.col("a").alias("node"), F.col("b").alias("rep"), "both", "rest")
-    near = saved(open_rows.join(known, ["node", "rep"]), "near")
-    inside = near.drop("rest")
+    # round 1: each node with the representatives of its buckets
+    checked = _confirmed(pairs, texts, words, percent)
+
+    # round 2: pairs across the components that a representative still has
+    label = components(checked.where("link"))
+    known = _labelled(checked.select(F.col("a").alias("node"), F.col("b").alias("rep"),
+                                     "size", "both", "rest"), label)
+    known = saved(known, "known")
+    several = saved(known.groupBy("rep").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo <> hi").select("rep"), "several")
+    near = saved(known.join(several, "rep"), "near")
+    # who shares less with the representative needs other shingles with any partner
+    inside = near.drop("rest").where(100 * F.col("both") >= percent * F.col("size"))
     inside = inside.alias("x").join(inside.alias("y"), F.expr(
-        "x.bucket = y.bucket AND x.component < y.component")
+        "x.rep = y.rep AND x.component < y.component")
         & _may_link("least(x.both, y.both)", percent)) \
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    near = saved(near.select("node", "rep", "component", "size", "both", "rest")
-                 .dropDuplicates(["node", "rep"]), "near")
     cross = inside.unionByName(_by_rest(near, percent)).distinct()
     seen = checked.select("a", "b").unionByName(
         checked.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    cross = saved(saved(cross, "pairs").join(seen, ["a", "b"], "left_anti"), "cross")
+    cross = saved(saved(cross, "across").join(seen, ["a", "b"], "left_anti"), "cross")
     links = checked.unionByName(_confirmed(cross, texts, words, percent)).where("link")
 
     label = components(links)

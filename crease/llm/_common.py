@@ -82,18 +82,36 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_memories: dict[str, dict] = {}
+
+
+def worker_memory(name: str) -> dict:
+    """What an operator remembers in a worker from one of its tasks to the next."""
+    return _memories.setdefault(name, {})
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str | StructType) -> DataFrame:
-    """``fn`` over the Arrow batches of each partition."""
+                schema: str | StructType, memory: str | None = None) -> DataFrame:
+    """``fn`` over the Arrow batches of each partition.  A worker forgets what other
+    operators remember in it; this one's ``memory`` stays."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(memory)
         yield from fn(batches)
         trim()
 
     return df.mapInArrow(run, schema)
 
 
+def forget(keep: str | None) -> None:
+    others = [held for name, held in _memories.items() if name != keep and held]
+    for held in others:
+        held.clear()
+    if others:
+        trim()
+
+
 def trim() -> None:
     """Give memory that is free back to the system: Spark keeps its Python workers, and
     what one step leaves free in them counts against the steps after it."""

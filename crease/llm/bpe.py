@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from crease.llm._common import map_batches, whole_text
+from crease.llm._common import map_batches, whole_text, worker_memory
 from crease.llm._text import groups, utf8
 from crease.llm.pretokens import Memory, encode_plain, spread
 
@@ -228,7 +228,7 @@ class Encoder:
         return [raw[a:max(a, b - last)] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[str, Encoder] = worker_memory("bpe")
 
 
 def encoder_for(name: str) -> Encoder:
@@ -268,4 +268,4 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text")
                         pa.array(np.concatenate(ids).astype(np.int32))),
                     "decoded": pa.array(encode.decoded(ids), pa.binary()).cast(pa.string())})
 
-    return map_batches(given, run, schema)
+    return map_batches(given, run, schema, "bpe")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from crease.llm._common import map_batches, whole_text
+from crease.llm._common import map_batches, whole_text, worker_memory
 from crease.llm._text import groups, utf8
 
 # -- classes of code points
@@ -323,7 +323,7 @@ class ByteCodec:
         return offsets, self.bytes[at].tobytes()
 
 
-_codecs: dict[str, ByteCodec] = {}
+_codecs: dict[str, ByteCodec] = worker_memory("byte_bpe")
 
 
 def codec_for(name: str) -> ByteCodec:
@@ -382,7 +382,7 @@ def byte_bpe_encode(docs: DataFrame, ranks_path: str, *, text_col: str = "text")
                                          zip(begin[:-1].tolist(), begin[1:].tolist(),
                                              strict=True)], pa.binary())})
 
-    return map_batches(given, run, schema)
+    return map_batches(given, run, schema, "byte_bpe")
 
 
 def byte_bpe_decode(coded: DataFrame, ranks_path: str, *, ids_col: str = "token_ids"
@@ -408,6 +408,6 @@ def byte_bpe_decode(coded: DataFrame, ranks_path: str, *, ids_col: str = "token_
                 "decoded": pa.array([raw[x:y] for x, y in
                                      zip(begin[:-1], begin[1:], strict=True)], pa.binary())})
 
-    out = map_batches(given, run, schema)
+    out = map_batches(given, run, schema, "byte_bpe")
     return out.select(*[F.col(f"row.`{c}`").alias(c) for c in coded.columns if c != "decoded"],
                       "decoded")

@@ -25,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crease.llm._common import map_batches, map_rows, partitions, whole_text
+from crease.llm._common import map_batches, map_rows, partitions, whole_text, worker_memory
 from crease.llm._text import groups, utf8
 from crease.llm.pretokens import Memory, encode_plain
 
@@ -104,7 +104,7 @@ class LibraryEncoder:
         return [np.array(next(rest), np.uint32) if f is None else f for f in found]
 
 
-_encoders: dict[str, LibraryEncoder] = {}
+_encoders: dict[str, LibraryEncoder] = worker_memory("token_files")
 
 
 def _encoder(name: str) -> LibraryEncoder:
@@ -175,7 +175,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, *,
         if held:
             yield flush()
 
-    map_batches(ordered, write, _BLOCK).write.parquet(path)
+    map_batches(ordered, write, _BLOCK, "token_files").write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,8 @@ no pairs: per key, and per key and place, the earliest line decides, found by
 a grouped minimum.  The one witness chosen for each line is then verified by
 its words.
 
-Not all lines emit variants.  One edit leaves the first or the last half of a
+Not all lines emit variants.  One word in a few is much of a line: below
+``min_words`` words only equal lines meet, by the hash of the whole line.  One edit leaves the first or the last half of a
 line as it was, so only lines that share a half with another one go on; equal
 lines are one line all along.  Hashes of deletions come from running XORs over
 the words, so a line costs time in proportion to its length.
@@ -25,23 +26,25 @@ from crease.llm._common import saved, whole_text
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
-def _words(line: Column) -> Column:
-    # most lines hold single spaces only: these split at a character, without a pattern
-    uneven = F.regexp_like(line, F.lit(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$|^$"))
-    return F.when(uneven, F.filter(F.split(line, _SPACE, -1), lambda w: w != "")) \
-        .otherwise(F.split(line, " ", -1))
+def _plain(line: Column) -> Column:
+    """The words of a line with one blank between them."""
+    # most lines hold single blanks only: these stay as they are
+    uneven = F.regexp_like(line, F.lit(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$"))
+    return F.when(uneven, F.array_join(F.filter(F.split(line, _SPACE, -1), lambda w: w != ""), " ")) \
+        .otherwise(line)
 
 
-def _key(words: Column) -> Column:
-    return F.unhex(F.md5(F.array_join(words, " ").cast("binary")))
+def _key(plain: Column) -> Column:
+    return F.unhex(F.md5(plain.cast("binary")))
 
 
-def _half_keys(words: Column, n: Column) -> Column:
+def _half_keys(plain: Column, n: Column) -> Column:
     """Hashes of the first and last words, as many as stay clear of each other in
     lines of ``n`` words and of one word more or less."""
     def both(size: Column) -> list[Column]:
-        return [F.xxhash64(F.lit(side), size, F.slice(words, start, size))
-                for side, start in (("first", F.lit(1)), ("last", n - size + 1))]
+        return [F.xxhash64(F.lit(side), size, F.call_function(
+            "substring_index", plain, F.lit(" "), sign * size))
+            for side, sign in (("first", 1), ("last", -1))]
 
     small, large = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
     return F.array_distinct(F.array(*both(small), *both(large)))
@@ -111,12 +114,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = whole_text(text_col)
     source = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("tie"),
                          text.alias("text"))
-    # the words come out of the generator, so that no later expression splits again
+    # plain lines come out of the generator, so that no later expression makes them again
     lines = source.select("doc", "tie", F.posexplode(F.transform(
-        F.split("text", "\n", -1), _words)).alias("line_no", "words"))
-    lines = lines.withColumn("n", F.size("words")).where(F.col("n") >= min_words)
-    found = saved(lines.select("doc", "tie", "line_no", _key(F.col("words")).alias("line"),
-                               _half_keys(F.col("words"), F.col("n")).alias("halves")), "lines")
+        F.split("text", "\n", -1), _plain)).alias("line_no", "plain")).where("plain <> ''")
+    blanks = F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" "), F.lit("")))
+    lines = lines.withColumn("n", blanks + 1)
+    # short lines have no variants: they meet whole only
+    found = saved(lines.select("doc", "tie", "line_no", _key(F.col("plain")).alias("line"), F.when(
+        F.col("n") >= min_words, _half_keys(F.col("plain"), F.col("n"))).alias("halves")), "lines")
     once = saved(found.groupBy("line").agg(
         F.min(F.struct("doc", "tie", "line_no")).alias("first"),
         F.count(F.lit(1)).alias("copies"), F.min("halves").alias("halves")), "once")
@@ -136,7 +141,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bodies = held.select("doc", "tie", "body", F.explode("wants").alias("want")).select(
         F.col("want.line").alias("line"),
         F.struct("doc", "tie", F.col("want.line_no").alias("line_no")).alias("first"),
-        _words(F.col("body")[F.col("want.line_no")]).alias("words"))
+        F.split(_plain(F.col("body")[F.col("want.line_no")]), " ", -1).alias("words"))
     # rows that repeat both id and text give a line more than once, told apart by ``copy``
     bodies = saved(bodies.withColumn("copy", F.monotonically_increasing_id()), "bodies")
     variants = saved(_variants(bodies), "variants")
@@ -172,10 +177,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``(row, n_lines, n_removed, kept_text)`` per input row; ``row`` is a struct of
     all its columns.
 
-    Lines are what ``\\n`` separates.  A line of ``min_words`` words or more is
-    removed if an earlier line (smaller id, or earlier in the document) has the
-    same words but for one edit at most; shorter lines always stay.  Lines are
-    judged on the input, not on what is left.  A NULL text is one empty line.
+    Lines are what ``\\n`` separates.  A line with a word is removed if an earlier
+    line (smaller id, or earlier in the document) has the same words; of lines of ``min_words``
+    words or more, also if it has them but for one edit.  A line without words always
+    stays.  Lines are judged on the input, not on what is
+    left.  A NULL text is one empty line.
     NULL ids come first; rows that share an id are ordered by a hash of their
     text, and rows that are the same in both are one document with one result.
     Other columns are carried along, whatever their names; an empty table gives

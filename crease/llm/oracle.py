@@ -79,14 +79,14 @@ WITH l AS (
   FROM (SELECT doc_id, generate_subscripts(ls, 1) AS p, unnest(ls) AS body
         FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
 k AS (SELECT doc_id, p, ws, array_to_string(ws, ' ') AS key,
-             row_number() OVER (ORDER BY doc_id, p) AS o FROM l WHERE len(ws) >= 5),
+             row_number() OVER (ORDER BY doc_id, p) AS o FROM l WHERE len(ws) > 0),
 f AS (SELECT key, min(o) AS o, any_value(ws) AS ws FROM k GROUP BY 1),
 v AS (
   SELECT key, o, q, array_to_string(list_concat(ws[1:q - 1], ws[q + 1:]), ' ') AS variant
-  FROM (SELECT key, o, ws, unnest(range(1, len(ws) + 1)) AS q FROM f)),
+  FROM (SELECT key, o, ws, unnest(range(1, len(ws) + 1)) AS q FROM f WHERE len(ws) >= 5)),
 near AS (
-  SELECT x.key FROM f x JOIN v y ON x.key = y.variant WHERE y.o < x.o
-  UNION SELECT x.key FROM v x JOIN f y ON x.variant = y.key WHERE y.o < x.o
+  SELECT x.key FROM f x JOIN v y ON x.key = y.variant WHERE len(x.ws) >= 5 AND y.o < x.o
+  UNION SELECT x.key FROM v x JOIN f y ON x.variant = y.key WHERE len(y.ws) >= 5 AND y.o < x.o
   UNION SELECT key FROM (SELECT key, o, min(o) OVER (PARTITION BY variant, q) AS low FROM v)
         WHERE low < o),
 gone AS (

@@ -99,11 +99,14 @@ def removed_lines(texts):
         for line in body:
             words = tuple(SPACED.findall(line))
             if len(words) < 5:
-                kept.append(line)
+                if not words or words not in whole:
+                    kept.append(line)
+                whole.add(words)
                 continue
             without = [words[:j] + words[j + 1:] for j in range(len(words))]
             seen = words in whole or words in variants or any(
-                v in whole or j in variants.get(v, ()) for j, v in enumerate(without))
+                (v in whole and len(v) >= 5) or j in variants.get(v, ())
+                for j, v in enumerate(without))
             whole.add(words)
             for j, v in enumerate(without):
                 variants.setdefault(v, set()).add(j)
@@ -117,7 +120,8 @@ def test_lines_equal_brute_force(spark, corpus):
     docs, texts = corpus
     more = {200: "a b c d e f\na b c d e g", 201: "x b c d e f\na b c d e\nq\nq",
             202: "a b c d f\n\na b c z d e f", 203: "p q r s t u\np q r s u t",
-            204: "b c d e f a\n a  b c d e f "}
+            204: "b c d e f a\n a  b c d e f ", 205: "k l\n k\tl \n\nk l m",
+            206: "s t u v\ns t u v w\ns t u\n\n  \nk l"}
     extra = spark.createDataFrame(list(more.items()), "doc_id long, text string")
     got = lines.line_dedup(docs.select("doc_id", "text").unionByName(extra))
     assert {r.row.doc_id: (r.n_lines, r.n_removed, r.kept_text) for r in got.collect()} \

@@ -55,6 +55,7 @@ def _pow(base: int, n: int) -> np.ndarray:
         have = np.ones(1, _U)
         while len(have) < size:  # the next half is the first half times a power
             have = np.concatenate([have, have * _U(pow(base, len(have), _P)) % _U(_P)])
+        have = have[:size].astype(np.uint32)  # below 2^31; half the memory that a worker keeps
         if n <= 2 * PASS_BYTES:
             _powers[base] = have
     return have

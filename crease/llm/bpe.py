@@ -21,13 +21,14 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from crease.llm._common import map_batches, whole_text, worker_memory
+from crease.llm._common import map_batches, worker_memory
 from crease.llm._text import groups, utf8
 from crease.llm.pretokens import Memory, encode_plain, spread
 
@@ -228,6 +229,9 @@ class Encoder:
         return [raw[a:max(a, b - last)] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
+#: text encoded at once; bounds the arrays per character
+GROUP_BYTES = 1 << 18
+
 _encoders: dict[str, Encoder] = worker_memory("bpe")
 
 
@@ -250,22 +254,22 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, *, text_col: str = "text")
     spark.sparkContext.addFile(tokenizer_path)
     name = tokenizer_path.rsplit("/", 1)[-1]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    given = rows.select("row", whole_text(F.col(f"row.`{text_col}`")).alias("text"))
+    place = docs.columns.index(text_col)
     schema = StructType([*rows.schema.fields, StructField("token_ids", ArrayType(IntegerType())),
                          StructField("decoded", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder_for(name)
         for batch in batches:
-            _, offsets = utf8(batch.column("text"))
-            for a, b in groups(offsets):
-                part = batch.slice(a, b - a)
-                ids = encode(part.column("text").to_pylist())
+            text = pc.struct_field(batch.column("row"), place).cast(pa.string())
+            _, offsets = utf8(text)
+            for a, b in groups(offsets, GROUP_BYTES):
+                ids = encode(text.slice(a, b - a).fill_null("").to_pylist())
                 yield pa.record_batch({
-                    "row": part.column("row"),
+                    "row": batch.column("row").slice(a, b - a),
                     "token_ids": pa.ListArray.from_arrays(
                         pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()),
                         pa.array(np.concatenate(ids).astype(np.int32))),
                     "decoded": pa.array(encode.decoded(ids), pa.binary()).cast(pa.string())})
 
-    return map_batches(given, run, schema, "bpe")
+    return map_batches(rows, run, schema, "bpe")

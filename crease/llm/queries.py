@@ -45,7 +45,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_digests(docs: DataFrame) -> DataFrame:
-    coded = bpe.bpe_encode(docs, public_tokenizers.path(TOKENIZER))
+    coded = bpe.bpe_encode(docs.select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
     ids = F.transform("token_ids", lambda i: i.cast("string"))
     return coded.select(
         "row.doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"),

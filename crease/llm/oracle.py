@@ -7,8 +7,6 @@ accuracy and brute force.
 
 from __future__ import annotations
 
-from crease.llm import secrets
-
 _SPACED = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -184,9 +182,22 @@ FROM b LEFT JOIN verdict USING (source)
 """
 
 
+# fixed values: kind, pattern, measured group, least length; the first three are the
+# contract's, written out here so that a wrong pattern of the operator shows
+_SECRET_RULES = [
+    ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+     2, 8),
+    ("access", r"(AKIA[A-Z0-9]{12,})", 1, 16),
+    ("hex", r"([0-9a-f]{32,})", 1, 32),
+    ("pem", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)", 1, 1),
+    ("github", r"(gh[pousr]_[A-Za-z0-9]{36,})", 1, 40),
+    ("jwt", r"(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1, 1),
+]
+
+
 def _rule_sql(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
     """Spans of one rule: the texts between matches and the matches alternate."""
-    pattern = pattern.replace("}+", "}").replace("'", "''")
+    pattern = pattern.replace("'", "''")
     return rf"""
   SELECT doc_id, {rank} AS rank, '{kind}' AS kind,
          list_sum(list_transform(gaps[1:i], lambda x: length(x)))
@@ -200,7 +211,7 @@ def _rule_sql(rank: int, kind: str, pattern: str, group: int, least: int) -> str
 
 
 _RULES = "\n  UNION ALL".join(
-    _rule_sql(i, *rule) for i, rule in enumerate(secrets.BASE_RULES + secrets.MORE_RULES))
+    _rule_sql(i, *rule) for i, rule in enumerate(_SECRET_RULES))
 
 _OP10 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),

@@ -24,7 +24,7 @@ from crease.llm import (
     token_files,
     vector_codes,
 )
-from crease.llm._common import table, work_path
+from crease.llm._common import shared_path, table, work_path
 
 TOKENIZER = "word_bpe_49k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -105,7 +105,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.secret_scan(table(spark, sf_dir, "documents"))
+    found = secrets.stored_scan(table(spark, sf_dir, "documents"),
+                                shared_path(spark, "secret-ledger"))
     base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE_RULES))
 
     def count(kind: str) -> Column:

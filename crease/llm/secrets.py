@@ -6,6 +6,10 @@ that the ledger does not have for the given version, appends them, and joins
 the findings back to every row that holds the blob, so thousands of copies or
 unchanged versions cost one scan.
 
+``stored_scan`` keeps the ledger as a table: each run adds its rows as a folder of
+its own, so a run that dies leaves no half rows and two runs at once at most scan
+a blob twice.
+
 Positions come without a user function: the texts between matches (``split``)
 and the matches (``regexp_extract_all``) alternate, so their lengths give each
 start and end in code points.
@@ -13,7 +17,10 @@ start and end in code points.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease.llm._common import saved, whole_text
@@ -37,6 +44,9 @@ MORE_RULES = [
 _SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"
 
 
+_LEDGER = f"blob binary, version int, spans {_SPAN}"
+
+
 def _spans(rank: int, kind: str, pattern: str, group: int, least: int) -> Column:
     """The matches of one rule as ``(start, rank, kind, end)``, leftmost first."""
     text = F.col("text")
@@ -114,6 +124,25 @@ def secret_scan(docs: DataFrame, ledger: DataFrame | None = None, *, id_col: str
         additions
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows that earlier runs stored at ``path``; None before the first one."""
+    try:
+        return spark.read.schema(_LEDGER).parquet(path).select("blob", "version", "spans")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def stored_scan(docs: DataFrame, path: str, **options) -> DataFrame:
+    """The findings of ``secret_scan`` with the ledger kept at ``path``: blobs that it
+    holds for this version of the rules are not scanned, the others are added to it."""
+    findings, additions = secret_scan(docs, read_ledger(docs.sparkSession, path), **options)
+    # a folder of its own: appends to one folder would share their temporary files
+    additions.write.parquet(f"{path.rstrip('/')}/run={uuid.uuid4().hex}")
+    return findings
+
+
 def span_list(spans: Column) -> Column:
     """``kind:start:end`` of each span, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(

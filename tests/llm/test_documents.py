@@ -220,30 +220,72 @@ def test_words_of_switched_text_are_labelled_one_by_one(labelled):
     grid, there = chains.grid()
     each = language.emissions(model.weights, chains.features, chains.bounds)
     found, _ = language.forward_backward(each[chains.kind[grid]], there, model.start, model.step)
-    assert found[0, :8].argmax(axis=1).tolist() == [0] * 4 + [1] * 4
+    assert found[:8, 0].argmax(axis=1).tolist() == [0] * 4 + [1] * 4
 
 
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(2)
-    score, start, step = rng.normal(size=(1, 4, 3)), rng.normal(size=3), rng.normal(size=(3, 3))
-    there = np.array([[True, True, True, False]])
+    score, start, step = rng.normal(size=(4, 1, 3)), rng.normal(size=3), rng.normal(size=(3, 3))
+    there = np.array([[True], [True], [True], [False]])
     found, expected = language.forward_backward(score, there, start, step)
     weight, total = np.zeros((3, 3)), 0.0
     pairs = np.zeros((3, 3))
     for a in range(3):
         for b in range(3):
             for c in range(3):
-                p = np.exp(start[a] + score[0, 0, a] + step[a, b] + score[0, 1, b] + step[b, c]
-                           + score[0, 2, c])
+                p = np.exp(start[a] + score[0, 0, a] + step[a, b] + score[1, 0, b] + step[b, c]
+                           + score[2, 0, c])
                 total += p
                 for t, x in enumerate((a, b, c)):
                     weight[t, x] += p
                 pairs[a, b] += p
                 pairs[b, c] += p
-    assert np.allclose(found[0, :3], weight / total)
+    assert np.allclose(found[:3, 0], weight / total)
     assert np.allclose(expected, pairs / total)
 
 
+def test_a_long_text_is_one_chain(labelled):
+    """Columns give what one grid over all words gives, whatever the lengths beside it."""
+    model = language.train(labelled)
+    rng = np.random.default_rng(4)
+    words = ["baba", "dado", "gaga", "silmi", "kelni", "riste", "zz", "é"]
+    sizes = [0, 1, 63, 64, 65, 128, 129, 1000] + [70] * 300
+    texts = [" ".join(rng.choice(words, n)) for n in sizes]
+    chains = language.Chains(texts)
+    total, likeliest = model.label(chains)
+    each = language.emissions(model.weights, chains.features, chains.bounds)
+    for i, n in enumerate(sizes[:12]):
+        a, b = chains.doc_first[i:i + 2]
+        assert b - a == n
+        if n:
+            found, _ = language.forward_backward(each[chains.kind[a:b]][:, None],
+                                                 np.ones((n, 1), bool), model.start, model.step)
+            assert np.allclose(total[i], found[:, 0].sum(axis=0))
+            assert (likeliest[a:b] == found[:, 0].argmax(axis=1)).all()
+
+
+def test_runs_of_switched_text(spark, labelled):
+    model = language.train(labelled)
+    texts = {1: "É! baba DADO gaga dobo, silmi kelni riste resti.", 2: None, 3: "12 3", 4: "",
+             5: "İ gaga dado baba gaga", 6: "gaga dado " * 200 + "silmi riste " * 200}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.row.doc_id: r.runs for r in language.identify(docs, model).collect()}
+    assert got[2] == got[3] == got[4] == []
+    assert [(texts[1][r.start:r.end].split(" ", 1)[-1], r.lang) for r in got[1]] \
+        == [("baba DADO gaga dobo", "aa"), ("kelni riste resti", "bb")]
+    assert [(r.start, r.end, r.lang) for r in got[6]] == [(0, 1999, "aa"), (2000, 4399, "bb")]
+    assert got[5][-1].end == len(texts[5])
+
+
+def test_sample_does_not_depend_on_the_order_of_rows(spark, labelled):
+    """Rows without an id tie in nothing but their text."""
+    rows = labelled.withColumn("doc_id", F.lit(None).cast("long"))
+    one = language.train(rows, per_language=5)
+    two = language.train(rows.orderBy(F.desc("text")).repartition(5), per_language=5)
+    assert one.labels == two.labels == ["aa", "bb"]
+    assert (one.weights == two.weights).all()
+
+
 def test_held_out_rows_are_never_learned_from(spark, labelled):
     other = labelled.withColumn("lang", F.when(language.held_out("doc_id"), "zz")
                                 .otherwise(F.col("lang")))
@@ -358,6 +400,36 @@ def test_ledger_scans_only_unseen_blobs_and_versions(spark):
     assert again.count() == 3
 
 
+def test_stored_ledger_is_read_and_grows(spark, tmp_path):
+    path, schema = f"{tmp_path}/ledger", "doc_id long, text string"
+    assert secrets.read_ledger(spark, path) is None
+    first = spark.createDataFrame(list(enumerate(SECRETS)), schema)
+
+    def spans(df):
+        return {r.doc_id: r.spans for r in df.collect()}
+
+    expected = spans(secrets.secret_scan(first)[0])
+    assert spans(secrets.stored_scan(first, path)) == expected
+    blobs = secrets.read_ledger(spark, path).count()
+    assert blobs == len({t or "" for t in SECRETS})
+    # a second run scans nothing, a third only what is new
+    assert spans(secrets.stored_scan(first, path)) == expected
+    assert secrets.read_ledger(spark, path).count() == blobs
+    more = first.unionByName(spark.createDataFrame([(90, "new"), (91, SECRETS[1])], schema))
+    got = spans(secrets.stored_scan(more, path))
+    assert got == {**expected, 90: [], 91: expected[1]}
+    assert secrets.read_ledger(spark, path).count() == blobs + 1
+    # two runs at once may both hold a blob: rows stay whole
+    secrets.read_ledger(spark, path).write.parquet(f"{path}/run=other")
+    assert spans(secrets.stored_scan(more, path)) == got
+    # findings come from the ledger
+    stored = secrets.read_ledger(spark, path).where("version = 1")
+    marked = stored.withColumn("version", F.lit(7)).withColumn("spans", F.array().cast(
+        stored.schema["spans"].dataType))
+    marked.write.parquet(f"{path}/run=seven")
+    assert set(map(len, spans(secrets.stored_scan(more, path, version=7)).values())) == {0}
+
+
 def test_secrets_run_without_python(corpus, nothing, repeats):
     plan = secrets.secret_scan(corpus[0])[0]._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from crease.llm import _text
 from crease.llm._common import map_rows, saved, whole_text
 from crease.llm.components import components
+from crease.operators.dedup import dedup_keep_first
 
 SLOTS = 1 << 20
 
@@ -239,7 +240,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 **options) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with the same columns; of
-    rows that repeat an id and its text, one stays."""
+    rows that repeat an id and its text, the one whose columns sort first stays."""
     kept = near_duplicates(docs, id_col, text_col, **options).where("kept") \
         .select(F.col("doc_id").alias("doc"), "node").distinct()
     kept = saved(kept, "kept")
@@ -248,4 +249,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        _node(whole_text(F.col(f"row.`{text_col}`"))).alias("node"))
     stay = rows.join(kept, rows["doc"].eqNullSafe(kept["doc"]) & (rows["node"] == kept["node"]),
                      "left_semi")
-    return stay.dropDuplicates(["doc", "node"]).select("row.*")
+    return dedup_keep_first(stay, ["doc", "node"]).select("row.*")

@@ -125,7 +125,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, *,
 
     NULL texts are empty documents (the end id alone).  Documents are in
     ascending id order, NULL ids first; rows that share an id are ordered by a
-    checksum of their text, and rows that are the same in both are all
+    checksum of their text, then by the text, and rows that are the same in both are all
     written.  Other columns are not read; an empty table gives a table without
     blocks.
     """
@@ -137,7 +137,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, *,
                        F.crc32(text.cast("binary")).alias("tie"), text.alias("text"))
     # the checksum also splits a range of rows without an id
     ordered = (rows.repartitionByRange(shards or partitions(spark), "doc", "tie")
-               .sortWithinPartitions("doc", "tie")
+               .sortWithinPartitions("doc", "tie", "text")
                .select("doc", "text", F.spark_partition_id().alias("shard")))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

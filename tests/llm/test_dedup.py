@@ -73,6 +73,15 @@ def test_one_of_each_group_stays_with_all_columns(corpus):
         i for i, (_, _, kept) in linked_groups(texts).items() if kept)
 
 
+def test_of_rows_that_repeat_id_and_text_the_smallest_stays(spark):
+    rows = [(1, "same text", lang, source) for lang, source in
+            (("b", "x"), ("a", "z"), (None, "y"), ("a", "c"), (None, "k"))]
+    for n in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        assert [tuple(r) for r in minhash.one_of_each(docs.repartition(n)).collect()] \
+            == [(1, "same text", None, "k")]
+
+
 def test_signature_coordinates_are_shifts_of_one_permutation():
     circle = minhash._circle(128)
     assert (circle[5, 1:] == circle[6, :-1]).all()

@@ -13,7 +13,9 @@ Not all lines emit variants.  One word in a few is much of a line: below
 ``min_words`` words only equal lines meet, by the hash of the whole line.  One edit leaves the first or the last half of a
 line as it was, so only lines that share a half with another one go on; equal
 lines are one line all along.  Hashes of deletions come from running XORs over
-the words, so a line costs time in proportion to its length.
+the words, so a line costs time in proportion to its length.  The lines that go on
+are numbered in the order of their first places (a range shuffle), so what meets in
+a key is compared and sent as one number.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crease.llm._common import saved, whole_text
+from crease.llm._common import partitions, saved, whole_text
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -34,6 +36,16 @@ def _plain(line: Column) -> Column:
         .otherwise(line)
 
 
+def _plain_lines(text: Column) -> Column:
+    """The plain lines of a text."""
+    every = F.split(text, "\n", -1)
+    # most texts hold no blank but single ones within lines: one look at the text tells
+    uneven = F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
+    for blank in ("\t", "\x0b", "\x0c", "\r", "  ", "\n ", " \n"):
+        uneven = uneven | F.contains(text, F.lit(blank))
+    return F.when(uneven, F.transform(every, _plain)).otherwise(every)
+
+
 def _key(plain: Column) -> Column:
     return F.unhex(F.md5(plain.cast("binary")))
 
@@ -47,7 +59,8 @@ def _half_keys(plain: Column, n: Column) -> Column:
             for side, sign in (("first", 1), ("last", -1))]
 
     small, large = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
-    return F.array_distinct(F.array(*both(small), *both(large)))
+    # the two sizes are one where n is odd
+    return F.when(n % 2 == 1, F.array(*both(large))).otherwise(F.array(*both(small), *both(large)))
 
 
 def _within_one_edit(a: Column, b: Column) -> Column:
@@ -62,10 +75,10 @@ def _within_one_edit(a: Column, b: Column) -> Column:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """``(variant, place, line, first)`` for ``lines(line, copy, first, words)``: the line
-    as it is at place -1 and the line without its word at each place."""
+    """``(variant, place, line)`` for ``lines(line, copy, words)``: the line as it is at
+    place -1 and the line without its word at each place."""
     n = F.size("words")
-    words = lines.select("line", "copy", "first", n.alias("n"),
+    words = lines.select("line", "copy", n.alias("n"),
                          F.posexplode("words").alias("place", "w"))
     words = words.withColumns({"here": F.xxhash64("w", "place"),
                                "moved": F.xxhash64("w", F.col("place") - 1)})
@@ -83,15 +96,15 @@ def _variants(lines: DataFrame) -> DataFrame:
     whole = F.struct(F.xxhash64(F.col("here_to"), F.col("n")).alias("variant"),
                      F.lit(-1).alias("place"))
     both = F.when(F.col("last"), F.array(without, whole)).otherwise(F.array(without))
-    return words.select("line", "first", F.explode(both).alias("v")).select(
-        "v.variant", "v.place", "line", "first")
+    return words.select("line", F.explode(both).alias("v")).select(
+        "v.variant", "v.place", "line")
 
 
 def _witnesses(variants: DataFrame) -> DataFrame:
-    """``(line, witness)``: the earliest other line within the bound, if it is earlier."""
-    each = F.struct("first", "line")
+    """``(line, witness)``: the earliest other line within the bound, if it is earlier;
+    lines are numbered by their first places."""
     by_place = saved(variants.groupBy("variant", "place").agg(
-        F.min(each).alias("low"), F.count(F.lit(1)).alias("n")), "by_place")
+        F.min("line").alias("low"), F.count(F.lit(1)).alias("n")), "by_place")
     deleted = F.col("place") >= 0
     by_key = saved(by_place.groupBy("variant").agg(
         F.min(F.when(deleted, F.col("low"))).alias("low_deleted"),
@@ -102,9 +115,8 @@ def _witnesses(variants: DataFrame) -> DataFrame:
                 .join(by_key, "variant"), "low")
     met = variants.join(low, ["variant", "place"])
     against = F.when(deleted, F.least("low_place", "low_whole")).otherwise(F.col("low_deleted"))
-    return (met.select("line", "first", against.alias("w")).where("w.first < first")
-            .groupBy("line").agg(F.min("w").alias("w")).select("line", F.col("w.line")
-                                                               .alias("witness")))
+    return (met.select("line", against.alias("witness")).where("witness < line")
+            .groupBy("line").agg(F.min("witness").alias("witness")))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
@@ -115,8 +127,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     source = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("tie"),
                          text.alias("text"))
     # plain lines come out of the generator, so that no later expression makes them again
-    lines = source.select("doc", "tie", F.posexplode(F.transform(
-        F.split("text", "\n", -1), _plain)).alias("line_no", "plain")).where("plain <> ''")
+    lines = source.select("doc", "tie", F.posexplode(_plain_lines(F.col("text")))
+                          .alias("line_no", "plain")).where("plain <> ''")
     blanks = F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" "), F.lit("")))
     lines = lines.withColumn("n", blanks + 1)
     # short lines have no variants: they meet whole only
@@ -130,17 +142,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = saved(halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                    .select("half"), "shared")
     partner = saved(halves.join(shared, "half", "left_semi").select("line").distinct(), "partner")
-    near = saved(once.join(partner, "line", "left_semi").select("line", "first"), "near")
+    near = once.join(partner, "line", "left_semi").select("line", "first")
+    near = saved(near.repartitionByRange(partitions(docs.sparkSession), "first")
+                 .sortWithinPartitions("first")
+                 .withColumn("number", F.monotonically_increasing_id()), "near")
     # the words of the lines that go on, from their first places
     wanted = saved(near.select("first.doc", "first.tie", F.struct(
-        F.col("first.line_no"), "line").alias("want")).groupBy("doc", "tie")
+        F.col("first.line_no"), "number").alias("want")).groupBy("doc", "tie")
         .agg(F.collect_list("want").alias("wants")), "wanted")
     held = source.join(wanted, (source["doc"].eqNullSafe(wanted["doc"]))
                        & (source["tie"] == wanted["tie"])) \
         .select(source["doc"], source["tie"], F.split("text", "\n", -1).alias("body"), "wants")
     bodies = held.select("doc", "tie", "body", F.explode("wants").alias("want")).select(
-        F.col("want.line").alias("line"),
-        F.struct("doc", "tie", F.col("want.line_no").alias("line_no")).alias("first"),
+        F.col("want.number").alias("line"),
         F.split(_plain(F.col("body")[F.col("want.line_no")]), " ", -1).alias("words"))
     # rows that repeat both id and text give a line more than once, told apart by ``copy``
     bodies = saved(bodies.withColumn("copy", F.monotonically_increasing_id()), "bodies")
@@ -149,8 +163,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mine = bodies.select("line", F.col("words").alias("a"))
     other = bodies.select(F.col("line").alias("witness"), F.col("words").alias("b"))
     edited = saved(pairs.join(mine, "line").join(other, "witness")
-                   .where(_within_one_edit(F.col("a"), F.col("b"))).select("line").distinct(),
-                   "edited")
+                   .where(_within_one_edit(F.col("a"), F.col("b")))
+                   .select(F.col("line").alias("number")).distinct(), "edited")
+    edited = near.join(edited, "number", "left_semi").select("line")
 
     judged = saved(once.select("line", "first", "copies")
                    .join(edited.withColumn("edited", F.lit(True)), "line", "left")
@@ -191,10 +206,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text = whole_text(F.col(f"row.`{text_col}`"))
     rows = rows.select("row", F.col(f"row.`{id_col}`").alias("__doc"),
-                       F.xxhash64(text).alias("__tie"), text.alias("__text"))
+                       F.xxhash64(text).alias("__tie"))
     joined = rows.join(removed, rows["__doc"].eqNullSafe(removed["doc"])
                        & (rows["__tie"] == removed["tie"]), "left")
-    lines = F.split("__text", "\n", -1)
+    lines = F.split(text, "\n", -1)  # after the join: the row carries its text once
     out = joined.select("row", lines.alias("__lines"), "removed",
                         _flags(F.col("removed")).alias("__gone"))
     kept = F.filter("__lines", lambda _, i: ~F.coalesce(F.get(F.col("__gone"), i), F.lit(False)))

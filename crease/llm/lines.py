@@ -150,7 +150,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = saved(near.select("first.doc", "first.tie", F.struct(
         F.col("first.line_no"), "number").alias("want")).groupBy("doc", "tie")
         .agg(F.collect_list("want").alias("wants")), "wanted")
-    held = source.join(wanted, (source["doc"].eqNullSafe(wanted["doc"]))
+    # merged at every size: a side that is small enough to send today grows with the corpus
+    held = source.join(wanted.hint("merge"), (source["doc"].eqNullSafe(wanted["doc"]))
                        & (source["tie"] == wanted["tie"])) \
         .select(source["doc"], source["tie"], F.split("text", "\n", -1).alias("body"), "wants")
     bodies = held.select("doc", "tie", "body", F.explode("wants").alias("want")).select(
@@ -207,7 +208,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = whole_text(F.col(f"row.`{text_col}`"))
     rows = rows.select("row", F.col(f"row.`{id_col}`").alias("__doc"),
                        F.xxhash64(text).alias("__tie"))
-    joined = rows.join(removed, rows["__doc"].eqNullSafe(removed["doc"])
+    joined = rows.join(removed.hint("merge"), rows["__doc"].eqNullSafe(removed["doc"])
                        & (rows["__tie"] == removed["tie"]), "left")
     lines = F.split(text, "\n", -1)  # after the join: the row carries its text once
     out = joined.select("row", lines.alias("__lines"), "removed",

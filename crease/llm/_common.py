@@ -21,11 +21,6 @@ from crease.session import ensure_checkpoint_dir
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """The path of a table that stays from run to run, below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/crease-llm/{name}"
-
-
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/crease-llm/{uuid.uuid4().hex}/{name}"

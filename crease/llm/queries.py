@@ -24,7 +24,7 @@ from crease.llm import (
     token_files,
     vector_codes,
 )
-from crease.llm._common import shared_path, table, work_path
+from crease.llm._common import table, work_path
 
 TOKENIZER = "word_bpe_49k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -105,8 +105,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.stored_scan(table(spark, sf_dir, "documents"),
-                                shared_path(spark, "secret-ledger"))
+    docs = table(spark, sf_dir, "documents")
+    # a ledger of its own, so that each call scans every text: an earlier state of the
+    # table is scanned first, then the whole table finds what the ledger lacks
+    ledger = work_path(spark, "secret-ledger")
+    secrets.stored_scan(docs.where(F.xxhash64("doc_id") < 0), ledger)
+    found = secrets.stored_scan(docs, ledger)
     base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE_RULES))
 
     def count(kind: str) -> Column:

@@ -1,9 +1,13 @@
 """Windows of a fixed length that also start earlier in the corpus.
 
 The corpus is cut by content, not by document: a window belongs to its least
-hashed k-gram (its minimizer), so equal windows always meet under the same
-key, and neighbouring windows of one document that share a minimizer travel as
-one *piece*.  The steps, each a stored table:
+hashed k-gram (its minimizer), and neighbouring windows of one document that
+share a minimizer travel as one *piece*.  Equal windows have their minimizer at
+the same place, so bytes go further: windows with half of their other symbols
+before the minimizer form one piece, keyed by it and that half, the others a
+second, keyed by it and the half after it.  Equal windows always meet under the
+same key, and a phrase that is followed by many different texts is no key of its
+own.  The steps, each a stored table:
 
 1. keys that occur once are settled (counts are combined before the shuffle);
 2. equal pieces are settled by their digest: all but the earliest are repeats;
@@ -34,9 +38,10 @@ from crease.llm._common import map_batches, map_rows, partitions, saved, whole_t
 
 _U = np.uint64
 #: symbols handled by one numpy pass
-PASS = 1 << 20
+PASS = 1 << 18
 _POSITION = _U((1 << 22) - 1)
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
+_GRAM_BASE = 0x9E3779B97F4A7C15
 
 PIECE = "h bigint, dig bigint, doc bigint, th bigint, at bigint"
 
@@ -44,8 +49,10 @@ PIECE = "h bigint, dig bigint, doc bigint, th bigint, at bigint"
 class Sequence:
     """Windows and pieces of one run of symbols (documents laid end to end)."""
 
-    def __init__(self, values: np.ndarray, bounds: np.ndarray, window: int, gram: int):
-        self.window, self.gram = window, gram
+    def __init__(self, values: np.ndarray, bounds: np.ndarray, window: int, gram: int,
+                 halves: bool = False):
+        self.window, self.gram, self.halves = window, gram, halves
+        self.values = values
         self.n = len(values)
         self.bounds = bounds
         self.roll = _text.Rolling(values)
@@ -58,12 +65,25 @@ class Sequence:
         np.add.at(step, last, -1)
         return np.cumsum(step[:-1], dtype=np.int32) > 0
 
+    def _grams(self) -> np.ndarray:
+        """A hash of each k-gram; that of halves only chooses minimizers, so modulo 2^64 will do."""
+        if not self.halves:
+            return self.roll.every(self.gram)
+        out, width = self.values, 1
+        with np.errstate(over="ignore"):
+            while width < self.gram:
+                step = min(width, self.gram - width)
+                more = out[:-step] * _U(pow(_GRAM_BASE, step, 1 << 64))
+                more += out[step:]
+                out, width = more, width + step
+        return _text.mix(out)
+
     def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First window, number of windows, key and digest of every piece."""
         none = np.zeros(0, np.int64)
         if self.n < self.window:
             return none, none, none, none
-        grams = self.roll.every(self.gram)
+        grams = self._grams()
         low = grams & ~_POSITION
         low |= np.arange(len(grams), dtype=_U)
         span = self.window - self.gram + 1
@@ -77,13 +97,24 @@ class Sequence:
         ok = self.window_ok()[:len(at)]
         new = np.ones(len(at), bool)
         new[1:] = (at[1:] != at[:-1]) | ~ok[:-1]
+        if self.halves:
+            # windows that hold this half of their other symbols before the minimizer
+            left = at - np.arange(len(at)) >= span // 2
+            new[1:] |= left[1:] != left[:-1]
         first = np.flatnonzero(new & ok)
         if not len(first):
             return none, none, none, none
         # a run ends where the next one begins or the windows end
         ends = np.flatnonzero(ok & np.append(new[1:] | ~ok[1:], True)) + 1
+        at = at[first]
+        if self.halves:
+            before = left[first]
+            key = self.roll.of(np.where(before, at - span // 2, at),
+                               at + np.where(before, self.gram, self.window - span // 2 + 1))
+        else:
+            key = grams[at]
         digest = _text.mix(self.roll.of(first, ends - 1 + self.window) + _U(0x5851F42D4C957F2D))
-        return first, ends - first, grams[at[first]].view(np.int64), digest.view(np.int64)
+        return first, ends - first, key.view(np.int64), digest.view(np.int64)
 
     def window_digests(self, first: np.ndarray) -> np.ndarray:
         return _text.mix(self.roll.of(first, first + self.window)).view(np.int64)
@@ -94,6 +125,8 @@ class Symbols:
 
     window: int
     gram: int
+    #: whether keys hold half of the symbols beside the minimizer
+    halves = False
 
     def sequences(self, data: np.ndarray, offsets: np.ndarray
                   ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -127,6 +160,8 @@ def _parts(counts: np.ndarray, window: int) -> Iterator[list[tuple[int, int, int
 
 
 class Bytes(Symbols):
+    halves = True
+
     def __init__(self, window: int = 100, gram: int = 16):
         self.window, self.gram = window, gram
 
@@ -167,7 +202,7 @@ def _located(batch: pa.RecordBatch, symbols: Symbols):
     """Pieces of a batch of texts: sequence, document row, start, count, key, digest."""
     data, offsets = _text.utf8(batch.column("text"))
     for values, bounds, doc, base in symbols.sequences(data, offsets):
-        seq = Sequence(values, bounds, symbols.window, symbols.gram)
+        seq = Sequence(values, bounds, symbols.window, symbols.gram, symbols.halves)
         first, n, key, digest = seq.pieces()
         part = np.searchsorted(bounds, first, side="right") - 1
         yield seq, doc[part], first - bounds[part] + base[part], n, key, digest, first
@@ -233,7 +268,7 @@ def _windows(doc: int, th: int, text: bytes, h: np.ndarray, start: np.ndarray, n
     digest = np.zeros(len(at), np.int64)
     data = np.frombuffer(text, np.uint8)
     for values, bounds, _, base in symbols.sequences(data, np.array([0, len(data)])):
-        seq = Sequence(values, bounds, symbols.window, symbols.gram)
+        seq = Sequence(values, bounds, symbols.window, symbols.gram, symbols.halves)
         for i, b in enumerate(base.tolist()):
             here = (at >= b) & (at + symbols.window <= b + bounds[i + 1] - bounds[i])
             digest[here] = seq.window_digests(at[here] - b + bounds[i])

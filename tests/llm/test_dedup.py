@@ -243,6 +243,45 @@ def test_a_document_longer_than_a_pass(spark, monkeypatch):
     assert len(found) == sum(len(t.split()) - 19 for t in texts.values())
 
 
+def byte_pieces(texts):
+    """``(text, first window, windows, key, digest)`` of the pieces of byte strings."""
+    from crease.llm import _repeats
+
+    symbols = _repeats.Bytes()
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    for values, bounds, doc, first in symbols.sequences(raw, offsets):
+        seq = _repeats.Sequence(values, bounds, symbols.window, symbols.gram, symbols.halves)
+        begin, n, key, digest = (x.tolist() for x in seq.pieces())
+        for a, *rest in zip(begin, n, key, digest, strict=True):
+            part = int(np.searchsorted(bounds, a, side="right")) - 1
+            yield int(doc[part]), a - int(bounds[part]) + int(first[part]), *rest
+
+
+def test_a_phrase_before_many_texts_is_no_key_of_their_pieces():
+    rng = np.random.default_rng(11)
+    phrase = b"as was said above and will be said"
+    texts = [rng.bytes(150) + phrase + rng.bytes(150) for _ in range(400)]
+    kinds = {}
+    for _, _, _, key, digest in byte_pieces(texts):
+        kinds.setdefault(key, set()).add(digest)
+    assert max(map(len, kinds.values())) == 1
+
+
+def test_equal_byte_windows_meet_under_one_key():
+    rng = np.random.default_rng(12)
+    base = rng.integers(97, 99, 4000, np.uint8).tobytes()  # two letters: many equal grams
+    texts = [base[rng.integers(0, 1000):][:rng.integers(90, 3000)] for _ in range(20)]
+    texts += [b"a" * 400, b"ab" * 200, b"", b"x" * 100, b"x" * 99]
+    key_of, seen = {}, set()
+    for doc, begin, n, key, _ in byte_pieces(texts):
+        for at in range(begin, begin + n):
+            assert (doc, at) not in seen
+            seen.add((doc, at))
+            assert key_of.setdefault(texts[doc][at:at + 100], key) == key
+    assert len(seen) == sum(max(0, len(t) - 99) for t in texts)
+
+
 def test_repeated_and_missing_ids(repeats):
     near = minhash.near_duplicates(repeats).collect()
     assert len(near) == 8

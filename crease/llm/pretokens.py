@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import regex
@@ -53,6 +54,9 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 _KIND, _LOWER = _tables()
+_VALUE = _text.mix(np.arange(1, TABLE + 2, dtype=np.uint64))
+#: characters hashed by one numpy pass, few enough to stay in the processor's cache
+PASS = 1 << 16
 
 
 class Memory:
@@ -96,14 +100,16 @@ class Memory:
             count = np.array([len(x) for x in ids], np.int64)
             begin = len(self.ids) + np.cumsum(count) - count
             self.ids = np.concatenate([self.ids, np.fromiter(
-                (i for x in ids for i in x), np.uint32, int(count.sum()))])
-            every = np.concatenate([self.keys, keys[new]])
-            order = np.argsort(every, kind="stable")
-            self.keys = every[order]
-            self.begin = np.concatenate([self.begin, begin])[order]
-            self.count = np.concatenate([self.count, count])[order]
-            self.at = np.concatenate([self.at, place])[order]
-            self.size_of = np.concatenate([self.size_of, size])[order]
+                chain.from_iterable(ids), np.uint32, int(count.sum()))])
+            # both are sorted: the new keys go before the known ones that they were looked up at
+            to = at[new] + np.arange(len(new))
+            known = np.ones(len(self.keys) + len(new), bool)
+            known[to] = False
+            for name, more in (("keys", keys[new]), ("begin", begin), ("count", count),
+                               ("at", place), ("size_of", size)):
+                merged = np.empty(len(known), more.dtype)
+                merged[known], merged[to] = getattr(self, name), more
+                setattr(self, name, merged)
             at = np.searchsorted(self.keys, keys)
         return at
 
@@ -117,15 +123,15 @@ def encode_plain(texts: list[str], memory: Memory) -> list[np.ndarray | None]:
     """The ids of each text, or None where the tables do not reach."""
     if not texts:
         return []
-    codes = [np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32) for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(c) for c in codes], dtype=np.int64)])
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
     if offsets[-1] == 0:
         return [np.zeros(0, np.uint32) for _ in texts]
-    capped = np.minimum(np.concatenate(codes), TABLE)
-    kind = _KIND[capped]
+    capped = np.minimum(codes, TABLE).astype(np.intp)
+    kind = _KIND.take(capped)
     odd = np.concatenate([[0], np.cumsum(kind == _ODD, dtype=np.int64)])
     fine = odd[offsets[1:]] == odd[offsets[:-1]]
-    chars = _LOWER[capped]
+    chars = _LOWER.take(capped)
     begins = np.ones(len(kind), bool)
     begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
     begins[offsets[:-1][offsets[:-1] < len(kind)]] = True
@@ -136,11 +142,11 @@ def encode_plain(texts: list[str], memory: Memory) -> list[np.ndarray | None]:
     start, end = start[word], end[word]
     hashes = np.empty(len(start), np.uint64)
     at = 0
-    values = _text.mix(chars.astype(np.uint64) + np.uint64(1), own=True)
     while at < len(start):
-        to = max(at + 1, int(np.searchsorted(end, start[at] + _text.PASS_BYTES, side="right")))
+        to = max(at + 1, int(np.searchsorted(end, start[at] + PASS, side="right")))
         a, b = start[at], end[to - 1]
-        hashes[at:to] = _text.Rolling(values[a:b]).of(start[at:to] - a, end[at:to] - a)
+        hashes[at:to] = _text.Rolling(_VALUE.take(chars[a:b])).of(start[at:to] - a,
+                                                                  end[at:to] - a)
         at = to
     keys, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
 
@@ -153,14 +159,15 @@ def encode_plain(texts: list[str], memory: Memory) -> list[np.ndarray | None]:
     size = end - start
     other = size != memory.size_of[row]
     if not other.any():
-        unequal = chars[spread(start, size)] != memory.chars[spread(memory.at[row], size)]
+        inside = (kind < _SPACE) | (kind == _OTHER)  # the characters of the pre-tokens, in order
+        unequal = chars[inside] != memory.chars.take(spread(memory.at[row], size))
         if unequal.any():
             other = np.add.reduceat(unequal, np.cumsum(size) - size) > 0
     if other.any():
         text = np.searchsorted(offsets, start[other], side="right") - 1
         fine[text] = False
     count = memory.count[row]
-    ids = memory.ids[spread(memory.begin[row], count)]
+    ids = memory.ids.take(spread(memory.begin[row], count))
     # where the ids of each text begin
     total = np.concatenate([[0], np.cumsum(count)])
     cut = total[np.searchsorted(start, offsets)]

@@ -16,6 +16,7 @@ a shard; a longer document is a block of its own.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -90,7 +91,40 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memory = Memory(self._encode)
+        self.model = self.tokenizer.model
+        self.direct = self._takes_words()
+        self.memory = Memory(self._words)
+
+    def _takes_words(self) -> bool:
+        """Whether the file hands plain ASCII pre-tokens to its model as they are."""
+        steps, split = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        signs = "".join(c for c in string.punctuation if c != "'")
+        probes = [string.ascii_lowercase, signs, *string.ascii_lowercase, *string.digits, *signs,
+                  *(2 * c for c in string.ascii_lowercase + signs)]
+        return steps is not None and split is not None and all(
+            steps.normalize_str(p) == p and [w for w, _ in split.pre_tokenize_str(p)] == [p]
+            for p in probes)
+
+    def _words(self, words: list[str]) -> list[list[int]]:
+        """Ids of pre-tokens: the steps before the model leave those in ASCII as they are."""
+        if not self.direct:
+            return self._encode(words)
+        tokenize = self.model.tokenize
+        rest = iter(self._others([w for w in words if not w.isascii()]))
+        return [[t.id for t in tokenize(w)] if w.isascii() else next(rest) for w in words]
+
+    def _others(self, words: list[str]) -> list[list[int]]:
+        """Ids of pre-tokens, the steps before the model taken for many at once where
+        they find the same pre-tokens."""
+        if not words:
+            return []
+        joined = " ".join(words)
+        if self.tokenizer.normalizer.normalize_str(joined) == joined:
+            found = self.tokenizer.pre_tokenizer.pre_tokenize_str(joined)
+            if [joined[a:b] for _, (a, b) in found] == words:
+                tokenize = self.model.tokenize
+                return [[t.id for t in tokenize(piece)] for piece, _ in found]
+        return self._encode(words)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]

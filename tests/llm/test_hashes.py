@@ -56,6 +56,39 @@ def test_tokens_of_words_that_collided(spark):
     assert [x.tolist() for x in encode([t for _, t in rows])] == list(expected.values())
 
 
+def test_pre_tokens_need_no_encoding_each(monkeypatch):
+    """Plain words go to the library's model itself; only what the tables of characters do not
+    reach is encoded as a text."""
+    library = Tokenizer.from_file(PATH)
+    texts = ["The cat, the CAT!! 12ab", "ÜBER straße ГОСТ βήτα -- ~`^|", "it's 中文", "",
+             "x<|endoftext|>y", "z" * 500]
+    asked = []
+    encode = token_files.LibraryEncoder(PATH)
+    whole = encode._encode
+    monkeypatch.setattr(token_files.LibraryEncoder, "_encode",
+                        lambda self, batch: asked.extend(batch) or whole(batch))
+    encode.memory = type(encode.memory)(getattr(encode, "_words", encode._encode))
+    got = [x.tolist() for x in encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(asked) == sorted([texts[2], texts[4]])
+    encode.direct = False  # a file that does more to a word before its model
+    encode.memory.clear()
+    assert [x.tolist() for x in encode(texts)] == got
+
+
+def test_words_that_come_in_any_order_are_remembered():
+    asked = []
+    memory = Memory(lambda words: asked.extend(words) or [[ord(c) for c in w] for w in words])
+    rng = np.random.default_rng(4)
+    words = ["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(400)]
+    for _ in range(3):
+        for part in np.array_split(rng.permutation(words), 20):
+            text = " ".join(part)
+            assert encode_plain([text], memory)[0].tolist() \
+                == [ord(c) for c in text if c != " "]
+    assert len(asked) == len(set(words))
+
+
 def test_a_shared_hash_is_not_taken_for_the_same_word(monkeypatch):
     monkeypatch.setattr(_text.Rolling, "of",
                         lambda self, a, b: (b - a).astype(np.uint64))  # words of one length
